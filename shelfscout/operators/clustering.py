@@ -192,7 +192,10 @@ def _spread_starts(points: DataFrame, key: str, specs: list[tuple[int, int, int]
                         if i not in best or entry[:2] < best[i][:2]:
                             best[i] = entry
             for i, (race, hash_, vector) in best.items():
-                yield pa.RecordBatch.from_pydict({"run": [i], "race": [race], "h": [hash_], "v": [vector.tolist()]})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([race]), pa.array([hash_]), pa.array([vector.tolist()])],
+                    names=["run", "race", "h", "v"],
+                )
 
         drawn = hashed.mapInArrow(run, "run int, race double, h long, v array<double>")
         winners = drawn.groupBy("run").agg(F.min_by("v", F.struct("race", "h")).alias("v"))

@@ -51,9 +51,21 @@ def matrix_density(cells: DataFrame, row: str, column: str, n_rows: int | None =
     return shape.withColumn("density", F.col("nnz") / (F.col("n_rows") * F.col("n_columns")))
 
 
-def sparse_rows(cells: DataFrame, key: str, value: str | None = None, index: str = "idx") -> DataFrame:
-    """``(key, indices, values)`` sorted by index; a row is at most one entry per vocabulary token."""
+def sparse_rows(
+    cells: DataFrame, key: str, value: str | None = None, index: str = "idx", keys: DataFrame | None = None
+) -> DataFrame:
+    """``(key, indices, values)`` sorted by index; a row is at most one entry per vocabulary token.
+
+    With ``keys`` every one of them gets a row, empty where it has no cell.
+    """
     weight = F.col(value).cast("double") if value else F.lit(1.0)
     entry = F.struct(F.col(index).cast("int").alias("i"), weight.alias("v"))
     packed = cells.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    return packed.select(key, F.col("e.i").alias("indices"), F.col("e.v").alias("values"))
+    rows = packed.select(key, F.col("e.i").alias("indices"), F.col("e.v").alias("values"))
+    if keys is None:
+        return rows
+    return keys.select(key).join(rows, key, "left").select(
+        key,
+        F.coalesce("indices", F.array().cast("array<int>")).alias("indices"),
+        F.coalesce("values", F.array().cast("array<double>")).alias("values"),
+    )

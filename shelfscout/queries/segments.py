@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from shelfscout.functions import scalars as S, tokens as T
 from shelfscout.functions.vectors import on_grid
-from shelfscout.operators import clustering, labels
+from shelfscout.operators import clustering
 from shelfscout.operators.sampling import fixed_sample
 from shelfscout.queries.registry import CATALOG, query, r6
-from shelfscout.session import spill
 from shelfscout.sources import tables
-from shelfscout.sources.schema import SEGMENT_COLUMNS
 
 K, SEEDS = 6, [1, 2, 3, 4, 5]
 
@@ -157,13 +155,3 @@ def cluster_profiles(spark, folder):
         S.rounded("cluster_freq").alias("cluster_freq"), "rank",
     )
 
-
-def tag_points(spark, folder):
-    """Sparse tag rows with their width, written once for the passes of a fit."""
-    from shelfscout.queries.features import tag_cells
-
-    cells, vocab = tag_cells(spark, folder)
-    return spill(labels.sparse_rows(cells, "item_id"), "tag-rows"), vocab.count()
-
-
-__all__ = ["SEGMENT_COLUMNS", "points", "tag_points", "width_of"]
