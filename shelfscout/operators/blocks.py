@@ -37,9 +37,19 @@ def _by(index: str):
     return lambda a, b: F.when(a[index] < b[index], -1).when(a[index] > b[index], 1).otherwise(0)
 
 
-def pair(left: DataFrame, right: DataFrame, n_left: int, n_right: int, right_bytes: int) -> DataFrame:
-    """Join each ``_lb`` block with each ``_rb`` block."""
-    spread = left.withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(max(n_right - 1, 0)))))
+def pair(
+    left: DataFrame, right: DataFrame, n_left: int, n_right: int, right_bytes: int, masks: DataFrame | None = None
+) -> DataFrame:
+    """Join each ``_lb`` block with each ``_rb`` block; ``masks`` adds its columns to the pairs it names.
+
+    Masks are put on the bare block numbers first, so that the vectors of a left block are moved once.
+    """
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(max(n_right - 1, 0))))
+    if masks is None:
+        spread = left.withColumn("_rb", numbers)
+    else:
+        grid = left.select("_lb", numbers.alias("_rb")).join(masks, ["_lb", "_rb"], "left")
+        spread = grid.join(left, "_lb")
     if right_bytes <= BROADCAST_BYTES:
         return spread.join(F.broadcast(right), "_rb")
     # Few right blocks would mean few join keys: copy each right block under several salts.

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -21,6 +21,7 @@ from shelfscout.operators.sampling import fixed_sample
 from shelfscout.session import spill
 
 SAMPLE_BLOCK = 1024
+MAX_SUM_COLUMNS = 128
 
 
 def _snapped(values: np.ndarray) -> np.ndarray:
@@ -121,12 +122,17 @@ def _step(points: DataFrame, runs: list[np.ndarray]) -> list[tuple[np.ndarray, n
         )
 
     parts = points.select(*_columns(points)).mapInArrow(run, "c int, s array<double>, n double, sse double")
-    totals = parts.groupBy("c").agg(
-        Summarizer.sum(array_to_vector(F.col("s"))).alias("s"), F.sum("n").alias("n"), F.sum("sse").alias("sse")
-    )
+    counted = [F.sum("n").alias("n"), F.sum("sse").alias("sse")]
+    if width <= MAX_SUM_COLUMNS:
+        # Plain sums of grid values are exact in any order.
+        totals = parts.groupBy("c").agg(F.array(*[F.expr(f"sum(s[{j}])") for j in range(width)]).alias("s"), *counted)
+    else:
+        totals = parts.groupBy("c").agg(
+            vector_to_array(Summarizer.sum(array_to_vector(F.col("s")))).alias("s"), *counted
+        )
     centres, sizes, sse = stacked.copy(), np.zeros(len(stacked)), np.zeros(len(stacked))
     for row in totals.collect():
-        centres[row["c"]] = row["s"].toArray() / row["n"]
+        centres[row["c"]] = np.array(row["s"]) / row["n"]
         sizes[row["c"]], sse[row["c"]] = row["n"], row["sse"]
     return [
         (centres[lo:hi], sizes[lo:hi], float(sse[lo:hi].sum())) for lo, hi in zip(starts[:-1], starts[1:])
@@ -236,7 +242,8 @@ def fit_kmeans(
     fits = []
     for n, spec in enumerate(specs):
         mine = [done[i] for i, p in enumerate(plan) if p[0] == n]
-        centres, sizes, inertia = min(mine, key=lambda state: state[2])
+        # Restarts that end alike differ in the last digits of their sums; the first of them is kept.
+        centres, sizes, inertia = min(mine, key=lambda state: float(f"{state[2]:.9g}"))
         fits.append(KMeansFit(spec, centres, sizes, inertia))
     return fits
 
@@ -355,7 +362,9 @@ def silhouette_sampled(
     All distances within the sample are formed in blocks; a cluster of one row counts 0.
     """
     columns = _columns(points)
-    sample = fixed_sample(points.select(key, *columns).join(labels.select(key, cluster), key), key, size, seed)
+    # At most ``size`` keys.
+    keys = F.broadcast(fixed_sample(points.select(key), key, size, seed))
+    sample = points.select(key, *columns).join(keys, key).join(labels.select(key, cluster).join(keys, key), key)
     placed = spill(with_position(sample, [key], "_i"), "sample")
     n = placed.count()
     if "vec" not in columns:

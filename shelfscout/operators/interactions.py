@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfscout.functions.scalars import pick_key
 from shelfscout.operators.ordered import with_position
+from shelfscout.session import spill
 
 
 def positive_pairs(interactions: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
@@ -25,11 +26,13 @@ def qualifying_users(pairs: DataFrame, user: str = "user_id", minimum: int = 2)
 def hold_out(pairs: DataFrame, seed: int, user: str = "user_id", item: str = "item_id", minimum: int = 2) -> DataFrame:
     """One item of each qualifying user, the first by ``pick_key``: ``(user, item)``.
 
-    The least key is an aggregate, so a user with many items is reduced before the shuffle.
+    The least key is an aggregate, so a user with many items is reduced before the shuffle. The result is
+    written: Spark splits the partition of a hot user only in a join of two plain shuffles, which a join with
+    an aggregate over the same key is not.
     """
     keyed = F.struct(pick_key(seed, user, item).alias("key"), F.col(item).alias("item"))
     picks = pairs.groupBy(user).agg(F.count("*").alias("_n"), F.min(keyed).alias("_pick"))
-    return picks.where(F.col("_n") >= minimum).select(user, F.col("_pick.item").alias(item))
+    return spill(picks.where(F.col("_n") >= minimum).select(user, F.col("_pick.item").alias(item)), "heldout")
 
 
 def train_pairs(pairs: DataFrame, heldout: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
@@ -45,7 +48,7 @@ def user_histories(
 
     A chunk covers ``span`` consecutive item ids, so no list grows with the activity of its user.
     """
-    chunked = pairs.withColumn("chunk", F.floor(F.col(item) / span))
+    chunked = pairs.withColumn("chunk", F.floor(F.col(item).cast("long") / span))
     return chunked.groupBy(user, "chunk").agg(
         F.count("*").alias("n_items"), F.array_sort(F.collect_list(item)).alias("items")
     )

@@ -46,7 +46,8 @@ def with_group_position(
 ) -> DataFrame:
     """Add the 0-based place of each row within its group; a hot group is spread over many tasks."""
     placed = with_position(df, [*group, *order], "_place")
-    starts = placed.groupBy(*group).agg(F.min("_place").alias("_start"))
+    # Written, so that the join meets two plain shuffles and a hot group's partition can be split.
+    starts = spill(placed.groupBy(*group).agg(F.min("_place").alias("_start")), "starts")
     return placed.join(starts, list(group)).select(
         *df.columns, (F.col("_place") - F.col("_start")).alias(name)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfscout.functions.scalars import pick_key
 from shelfscout.operators.ordered import value_counts, weighted_quantiles, with_group_position
+from shelfscout.session import spill
 
 QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
 
@@ -32,7 +33,8 @@ def with_popularity_bin(df: DataFrame, column: str, name: str = "popularity_bin"
 
 def stratified_sample(df: DataFrame, stratum: str, key: str, fraction: float, seed: int) -> DataFrame:
     """Exactly round-half-even(fraction * n) rows of each stratum, the first by ``pick_key``."""
-    sizes = df.groupBy(stratum).agg(F.bround(F.count("*") * F.lit(fraction), 0).cast("long").alias("_take"))
+    take = F.bround(F.count("*") * F.lit(fraction), 0).cast("long")
+    sizes = spill(df.groupBy(stratum).agg(take.alias("_take")), "strata")
     keyed = df.withColumn("_pick", pick_key(seed, key))
     placed = with_group_position(keyed, [stratum], ["_pick", key], "_place")
     return placed.join(sizes, stratum).where(F.col("_place") < F.col("_take")).select(*df.columns)

@@ -66,11 +66,12 @@ class Scorer:
     item_bytes: int
     fields: dict[str, str] = field(default_factory=dict)
 
-    @property
-    def pairs(self) -> DataFrame:
+    def pairs(self, masked: bool = False) -> DataFrame:
+        """Block pairs; ``masked`` adds the train pairs of each as ``_mask``."""
         n_left = -(-self.n_users // self.user_block)
         n_right = -(-self.n_items // self.item_block)
-        return pair(self.user_blocks, self.item_blocks, n_left, n_right, self.item_bytes)
+        masks = self.masks if masked else None
+        return pair(self.user_blocks, self.item_blocks, n_left, n_right, self.item_bytes, masks)
 
 
 def prepare(
@@ -148,7 +149,7 @@ def score_extremes(scorer: Scorer) -> dict[str, tuple[float, float]]:
                     {"model": models, "low": [float(p.min()) for p in products], "high": [float(p.max()) for p in products]}
                 )
 
-    found = scorer.pairs.mapInArrow(run, "model string, low double, high double")
+    found = scorer.pairs().mapInArrow(run, "model string, low double, high double")
     rows = found.groupBy("model").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
     return {r["model"]: (r["low"], r["high"]) for r in rows}
 
@@ -168,16 +169,12 @@ def score_summary(scorer: Scorer) -> DataFrame:
                 )
 
     schema = f"{user} {scorer.fields['user']}, n long, low double, high double, total double"
-    parts = scorer.pairs.mapInArrow(run, schema)
+    parts = scorer.pairs().mapInArrow(run, schema)
     return parts.groupBy(user).agg(
         F.sum("n").alias("n_items"), F.min("low").alias("min_score"), F.max("high").alias("max_score"), F.sum("total").alias("sum_score")
     )
 
 
-def _with_masks(scorer: Scorer) -> DataFrame:
-    return scorer.pairs.join(scorer.masks, ["_lb", "_rb"], "left")
-
-
 def _mask(batch: pa.RecordBatch, row: int, shape: tuple[int, int], item_block: int) -> np.ndarray:
     hidden = np.zeros(shape, dtype=bool)
     cell = batch.column("_mask")[row]
@@ -215,7 +212,7 @@ def heldout_ranks(scorer: Scorer, blends: Sequence[Blend]) -> DataFrame:
                         names=["_c", user, "n"],
                     )
 
-    counted = _with_masks(scorer).mapInArrow(run, f"_c int, {user} {scorer.fields['user']}, n long")
+    counted = scorer.pairs(masked=True).mapInArrow(run, f"_c int, {user} {scorer.fields['user']}, n long")
     names = F.lit([b.name for b in blends])
     ranks = counted.groupBy("_c", user).agg((F.sum("n") + 1).alias("rank"))
     return ranks.join(scorer.held_scores.select(user, scorer.item), user).select(
@@ -247,7 +244,7 @@ def top_k(scorer: Scorer, k: int, blend: Blend | None = None) -> DataFrame:
                 )
 
     schema = f"{user} {scorer.fields['user']}, item {scorer.fields['item']}, score double"
-    candidates = _with_masks(scorer).mapInArrow(run, schema).withColumnRenamed("item", scorer.item)
+    candidates = scorer.pairs(masked=True).mapInArrow(run, schema).withColumnRenamed("item", scorer.item)
     return best_per_user(candidates, k, user, scorer.item)
 
 

@@ -72,7 +72,7 @@ def run_recommendation(
     configure(spark)
     log = MetricLog("recommendation")
     pairs = spill(inter.interaction_universe(interactions, catalog), "pairs")
-    heldout = spill(inter.hold_out(pairs, seed), "heldout")
+    heldout = inter.hold_out(pairs, seed)
     train = spill(inter.train_pairs(pairs, heldout), "train")
     items = spill(pairs.select("item_id").distinct(), "items")
     counts = pairs.agg(F.count_distinct("user_id").alias("n_users"), F.count("*").alias("n_positive")).first()

@@ -196,7 +196,7 @@ def ari_stability(spark, folder):
 
 def _factors(spark, folder, k=10):
     pairs, train, held = split(spark, folder)
-    train, held = spill(train, "train"), spill(held, "held")
+    train = spill(train, "train")
     return pairs, train, held, factorization.fit_factors(train, k)
 
 
@@ -225,6 +225,6 @@ def mf_hr(spark, folder):
 def mf_sweep(spark, folder):
     """Latent sizes 10, 20 and 50; the best by HR@10 is marked."""
     pairs, train, held = split(spark, folder)
-    train, held = spill(train, "train"), spill(held, "held")
+    train = spill(train, "train")
     rates, _, best = recommend_plan.factor_sweep(train, held, pairs.select("item_id").distinct())
     return rates.drop("position").withColumn("best", F.col("config") == f"k={best}")

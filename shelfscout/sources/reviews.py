@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -33,22 +34,14 @@ def list_review_files(
 ) -> DataFrame:
     """``(path, item key)`` of every CSV below ``root``; the first ``limit_files`` by path when given.
 
-    Only names are listed: the content column is never read.
+    Only names are listed, empty files among them, as Spark lists them for any scan; nothing is read.
     """
     if limit_files is not None and limit_files <= 0:
         raise ValueError("limit_files must be a positive integer")
-    listing = (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter="*.csv")
-        .load(root)
-        .select("path", F.col("length"))
-    )
-    files = listing.select(
-        "path",
-        "length",
-        F.regexp_extract(F.regexp_replace("path", r"^file:/+", "/"), key_pattern, 1).alias(ITEM_KEY),
-    )
-    return files if limit_files is None else files.orderBy("path").limit(limit_files)
+    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
+    names = sorted(unquote(name) for name in listing.inputFiles())[:limit_files]
+    files = spark.createDataFrame([(name,) for name in names], "path string")
+    return files.select("path", F.regexp_extract("path", key_pattern, 1).alias(ITEM_KEY))
 
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,9 +50,8 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         headers = []
         for path in batch["path"]:
-            location = path if "://" in path else path.replace("file:", "file://", 1)
             try:
-                system, inner = fs.FileSystem.from_uri(location)
+                system, inner = fs.FileSystem.from_uri(quote(path, safe=":/="))
                 with system.open_input_stream(inner) as stream:
                     line = stream.read(HEADER_BYTES).split(b"\n", 1)[0]
                 headers.append(line.decode("utf-8-sig").strip("\r"))
@@ -90,12 +82,14 @@ def scan_reviews(
     limit_files: int | None = None,
     items: DataFrame | None = None,
     multi_line: bool = False,
+    whole_files: bool = True,
 ) -> ReviewScan:
     """Read the review files below ``root``.
 
     ``items`` (one key column) keeps the files of sampled items, before anything of them is read. Lines with
-    more cells than the header spoil their file, which is then left out whole. Set ``multi_line`` when a cell
-    may hold a line break; files are then not split.
+    more cells than the header spoil their file, which is then left out whole; finding them takes a pass of its
+    own, which ``whole_files=False`` saves by leaving out the lines only. Set ``multi_line`` when a cell may hold
+    a line break; files are then not split.
     """
     files = list_review_files(spark, root, key_pattern, limit_files)
     if items is not None:
@@ -106,10 +100,11 @@ def scan_reviews(
         raise RuntimeError("no review files selected")
     usable = probed.where(F.col("reason").isNull())
 
-    # The number of different headers is small by nature; the paths of each are handed to one scan.
-    parts = []
-    for header in usable.groupBy("header").agg(F.collect_list("path").alias("paths")).toLocalIterator():
-        parts.append(_read_group(spark, header["header"], header["paths"], multi_line))
+    # File names only, which Spark keeps on the driver for every scan; different headers are few by nature.
+    paths: dict[str, list[str]] = {}
+    for row in usable.select("header", "path").toLocalIterator():
+        paths.setdefault(row["header"], []).append(row["path"])
+    parts = [_read_group(spark, header, sorted(paths[header]), multi_line) for header in sorted(paths)]
     if not parts:
         raise RuntimeError("no review file could be read")
     rows = parts[0]
@@ -117,11 +112,13 @@ def scan_reviews(
         rows = rows.unionByName(part)
 
     torn = rows.where("_torn").select(F.col("_path").alias("path")).distinct()
-    torn = spill(torn.withColumn("reason", F.lit("line with too many cells")), "torn")
-    if not torn.isEmpty():
-        rows = rows.join(torn.select(F.col("path").alias("_path")), "_path", "left_anti")
+    torn = torn.withColumn("reason", F.lit("line with too many cells"))
+    if whole_files:
+        torn = spill(torn, "torn")
+        if not torn.isEmpty():
+            rows = rows.join(torn.select(F.col("path").alias("_path")), "_path", "left_anti")
     rows = rows.where(~F.col("_torn"))
-    key = F.regexp_extract(F.regexp_replace("_path", r"^file:/+", "/"), key_pattern, 1)
+    key = F.regexp_extract("_path", key_pattern, 1)
     rows = rows.select(*required, key.alias(ITEM_KEY))
     quarantine = probed.where(F.col("reason").isNotNull()).select("path", "reason").unionByName(torn)
     return ReviewScan(rows, quarantine)
