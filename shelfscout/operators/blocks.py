@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def pack(df: DataFrame, index: str, rows_per_block: int, vectors: Sequence[str], scalars: Sequence[str], block: str) -> DataFrame:
-    """One row per block: each scalar as an array, each vector column flattened, in ``index`` order.
+def pack(df: DataFrame, block: str, vectors: Sequence[str], scalars: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per ``block``: each scalar as an array, each vector column flattened, all in the same order.
 
-    ``index`` is a dense 0-based position, so a block never exceeds ``rows_per_block`` rows.
+    The caller sees to it that a block has a bounded number of rows. ``order`` names a scalar to sort by.
     """
-    numbered = df.withColumn(block, F.floor(F.col(index) / rows_per_block).cast("int"))
-    entry = F.struct(index, *vectors, *scalars)
-    rows = numbered.groupBy(block).agg(F.array_sort(F.collect_list(entry), _by(index)).alias("_rows"))
+    entry = F.struct(*scalars, *vectors)
+    listed = F.collect_list(entry)
+    rows = df.groupBy(block).agg((F.array_sort(listed, _by(order)) if order else listed).alias("_rows"))
     return rows.select(
         block,
         F.size("_rows").alias(f"{block}_size"),
@@ -33,8 +33,8 @@ def pack(df: DataFrame, index: str, rows_per_block: int, vectors: Sequence[str],
     )
 
 
-def _by(index: str):
-    return lambda a, b: F.when(a[index] < b[index], -1).when(a[index] > b[index], 1).otherwise(0)
+def _by(order: str):
+    return lambda a, b: F.when(a[order] < b[order], -1).when(a[order] > b[order], 1).otherwise(0)
 
 
 def pair(

@@ -125,7 +125,8 @@ def _step(points: DataFrame, runs: list[np.ndarray]) -> list[tuple[np.ndarray, n
     counted = [F.sum("n").alias("n"), F.sum("sse").alias("sse")]
     if width <= MAX_SUM_COLUMNS:
         # Plain sums of grid values are exact in any order.
-        totals = parts.groupBy("c").agg(F.array(*[F.expr(f"sum(s[{j}])") for j in range(width)]).alias("s"), *counted)
+        sums = ", ".join(f"sum(s[{j}])" for j in range(width))
+        totals = parts.groupBy("c").agg(F.expr(f"array({sums}) AS s"), *counted)
     else:
         totals = parts.groupBy("c").agg(
             vector_to_array(Summarizer.sum(array_to_vector(F.col("s")))).alias("s"), *counted
@@ -374,10 +375,9 @@ def silhouette_sampled(
             "vec", F.transform(zero, lambda _, j: F.coalesce(F.col("_m")[j], F.lit(0.0)))
         )
     rows_per_block = min(SAMPLE_BLOCK, max(64, 4_000_000 // max(width, 1)))
-    left = pack(placed, "_i", rows_per_block, ["vec"], [key, cluster], "_lb")
-    right = pack(
-        placed.select("_i", F.col("vec").alias("_v"), F.col(cluster).alias("_c")), "_i", rows_per_block, ["_v"], ["_c"], "_rb"
-    )
+    number = F.floor(F.col("_i") / rows_per_block).cast("int")
+    left = pack(placed.withColumn("_lb", number), "_lb", ["vec"], [key, cluster])
+    right = pack(placed.select(number.alias("_rb"), F.col("vec").alias("_v"), F.col(cluster).alias("_c")), "_rb", ["_v"], ["_c"])
     n_blocks = -(-n // rows_per_block)
     both = pair(left, right, n_blocks, n_blocks, n * width * 8)
 

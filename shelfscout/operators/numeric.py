@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfscout.functions.scalars import age_days, clean_number, clip, flag, release_date, release_parts
 from shelfscout.operators.ordered import stacked, value_counts, weighted_quantiles
-from shelfscout.session import spill
 from shelfscout.sources.schema import DATE_COLUMNS, NUMERIC_COLUMNS, PLATFORM_COLUMNS, REVIEW_COLUMNS
 
 
@@ -56,34 +55,34 @@ def fit_columns(df: DataFrame, columns: Sequence[str], low: float = 0.01, high:
     imputed column and the moments of the clipped column are all taken from that smaller table.
     """
     counts = value_counts(stacked(coerced(df, columns), columns), ["column"], "value")
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    medians = names.join(weighted_quantiles(counts, ["column"], "value", "weight", [0.5]), "column", "left").select(
-        "column", F.coalesce("quantile", F.lit(0.0)).alias("median")
+    medians = dict.fromkeys(columns, 0.0)
+    for row in weighted_quantiles(counts, ["column"], "value", "weight", [0.5]).collect():
+        medians[row["column"]] = row["quantile"]
+
+    filled = counts.select("column", F.coalesce("value", _per_column(medians)).alias("value"), "weight")
+    bounds: dict[str, list[float]] = {c: [] for c in columns}
+    for row in weighted_quantiles(filled, ["column"], "value", "weight", [low, high]).collect():
+        bounds[row["column"]].append(row["quantile"])
+    lows = {c: min(b, default=0.0) for c, b in bounds.items()}
+    highs = {c: max(b, default=0.0) for c, b in bounds.items()}
+
+    # Deviations are taken from the median, which keeps the squares small.
+    off = clip("value", _per_column(lows), _per_column(highs)) - _per_column(medians)
+    moments = filled.select("column", "weight", off.alias("x")).groupBy("column").agg(
+        (F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).alias("m"),
+        (F.sum(F.col("x") * F.col("x") * F.col("weight")) / F.sum("weight")).alias("s"),
     )
-    medians = spill(medians, "medians")
-    filled = spill(
-        counts.join(F.broadcast(medians), "column")
-        .select("column", F.coalesce("value", "median").alias("value"), "weight")
-        .groupBy("column", "value")
-        .agg(F.sum("weight").alias("weight")),
-        "filled",
-    )
-    bounds = (
-        weighted_quantiles(filled, ["column"], "value", "weight", [low, high])
-        .groupBy("column")
-        .agg(F.min("quantile").alias("low"), F.max("quantile").alias("high"))
-    )
-    bounds = spill(bounds, "bounds")
-    clipped = filled.join(F.broadcast(bounds), "column").withColumn("x", clip("value", F.col("low"), F.col("high")))
-    total = F.sum("weight")
-    means = clipped.groupBy("column", "low", "high").agg((F.sum(F.col("x") * F.col("weight")) / total).alias("mean"))
-    centred = clipped.join(F.broadcast(means.select("column", "mean")), "column")
-    deviation = F.col("x") - F.col("mean")
-    spread = centred.groupBy("column").agg(
-        F.sqrt(F.sum(deviation * deviation * F.col("weight")) / total).alias("std")
-    )
-    rows = medians.join(means, "column").join(spread, "column").collect()
-    return {r["column"]: ColumnStats(r["median"], r["low"], r["high"], r["mean"], r["std"]) for r in rows}
+    stats = {}
+    for row in moments.collect():
+        c = row["column"]
+        spread = max(row["s"] - row["m"] ** 2, 0.0) ** 0.5
+        stats[c] = ColumnStats(medians[c], lows[c], highs[c], medians[c] + row["m"], spread)
+    return stats
+
+
+def _per_column(values: dict[str, float]) -> Column:
+    """The value that belongs to the row's ``column``; one entry per column."""
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("column")]
 
 
 def imputed(c: str, stats: ColumnStats) -> Column:

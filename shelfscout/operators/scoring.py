@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfscout.functions.vectors import dot, on_grid, unit
@@ -35,14 +36,14 @@ class Blend:
     alpha: float | None = None
     extremes: tuple[float, float, float, float] = (0.0, 1.0, 0.0, 1.0)
 
-    def apply(self, first, second):
-        """The score from the two dot products; works on columns and on arrays alike."""
-        if self.alpha is None:
-            return first
+    def scaled(self, first, second):
+        """Both scores brought to 0..1; works on columns and on arrays alike."""
         low1, high1, low2, high2 = self.extremes
-        a = (first - low1) / (high1 - low1 + 1e-9)
-        b = (second - low2) / (high2 - low2 + 1e-9)
-        return a * self.alpha + b * (1.0 - self.alpha)
+        return (first - low1) / (high1 - low1 + 1e-9), (second - low2) / (high2 - low2 + 1e-9)
+
+    def mixed(self, first, second):
+        """The score from two scaled ones, or the first as it is."""
+        return first if self.alpha is None else first * self.alpha + second * (1.0 - self.alpha)
 
 
 @dataclass
@@ -55,23 +56,20 @@ class Scorer:
     user_blocks: DataFrame
     item_blocks: DataFrame
     masks: DataFrame
-    held_scores: DataFrame
-    n_users: int
+    n_blocks: int
     n_items: int
     models: list[str]
     user: str
     item: str
     item_block: int
-    user_block: int
     item_bytes: int
     fields: dict[str, str] = field(default_factory=dict)
 
     def pairs(self, masked: bool = False) -> DataFrame:
         """Block pairs; ``masked`` adds the train pairs of each as ``_mask``."""
-        n_left = -(-self.n_users // self.user_block)
         n_right = -(-self.n_items // self.item_block)
         masks = self.masks if masked else None
-        return pair(self.user_blocks, self.item_blocks, n_left, n_right, self.item_bytes, masks)
+        return pair(self.user_blocks, self.item_blocks, self.n_blocks, n_right, self.item_bytes, masks)
 
 
 def prepare(
@@ -85,48 +83,48 @@ def prepare(
     user_block: int = USER_BLOCK,
     item_block: int = ITEM_BLOCK,
 ) -> Scorer:
-    """Place users and items in their sorted order and pack them.
+    """Pack items in their sorted order and users by a hash of their id, and the train pairs per block pair.
 
     ``users`` and ``items`` carry one array<double> column per model, on the grid. Users without a held-out
-    item in ``items`` are left out, as they cannot be tested.
+    item in ``items`` are left out, as they cannot be tested. A user block has about ``user_block`` rows, an
+    item block at most ``item_block``.
     """
     models = list(models)
     item_rows = with_position(items.select(item, *models), [item], "_i")
     n_items = item_rows.count()
-    tested = heldout.select(user, F.col(item).alias("_held")).join(
-        item_rows.select(F.col(item).alias("_held"), F.col("_i").alias("_hi"), *[F.col(m).alias(f"_h_{m}") for m in models]),
-        "_held",
+    n_blocks = max(1, -(-heldout.count() // user_block))
+    bucket = F.pmod(F.xxhash64(user), F.lit(n_blocks)).cast("int")
+
+    # Train pairs move as (user, place of the item): a cell is at most a dense block pair, a hot user or item
+    # is spread over the blocks of the other side.
+    places = train.join(item_rows.select(item, "_i"), item).select(
+        bucket.alias("_lb"),
+        F.floor(F.col("_i") / item_block).cast("int").alias("_rb"),
+        F.col(user).alias("_mask_user"),
+        (F.col("_i") % item_block).cast("int").alias("_mask_item"),
+    )
+    masks = places.groupBy("_lb", "_rb").agg(F.collect_list(F.struct("_mask_user", "_mask_item")).alias("_m"))
+    masks = spill(masks.select("_lb", "_rb", "_m._mask_user", "_m._mask_item"), "masks")
+
+    held_items = item_rows.select(
+        F.col(item).alias("_held"), F.col("_i").alias("_hi"), *[F.col(m).alias(f"_h_{m}") for m in models]
     )
+    tested = heldout.select(user, F.col(item).alias("_held")).join(held_items, "_held")
     user_rows = users.select(user, *models).join(tested, user)
-    user_rows = with_position(
-        user_rows.withColumns({f"_s_{m}": dot(m, f"_h_{m}") for m in models}).drop(*[f"_h_{m}" for m in models]),
-        [user],
-        "_u",
+    user_rows = user_rows.select(
+        user, "_held", "_hi", *models, *[dot(m, f"_h_{m}").alias(f"_s_{m}") for m in models], bucket.alias("_lb")
     )
-    n_users = user_rows.count()
-    held_scores = user_rows.select(user, F.col("_held").alias(item), *[F.col(f"_s_{m}").alias(m) for m in models])
-
-    user_blocks = pack(user_rows, "_u", user_block, models, [user, "_hi", *[f"_s_{m}" for m in models]], "_lb")
-    right = item_rows.select("_i", F.col(item).alias("_item"), *[F.col(m).alias(f"_v_{m}") for m in models])
-    item_blocks = pack(right, "_i", item_block, [f"_v_{m}" for m in models], ["_item"], "_rb")
-
-    # One number per train pair, grouped by block pair: at most user_block * item_block in a cell.
-    places = train.join(user_rows.select(user, "_u"), user).join(item_rows.select(item, "_i"), item)
-    cell = F.col("_u") % user_block * item_block + F.col("_i") % item_block
-    masks = places.groupBy(
-        F.floor(F.col("_u") / user_block).cast("int").alias("_lb"),
-        F.floor(F.col("_i") / item_block).cast("int").alias("_rb"),
-    ).agg(F.collect_list(cell.cast("int")).alias("_mask"))
+    user_blocks = spill(pack(user_rows, "_lb", models, [user, "_held", "_hi", *[f"_s_{m}" for m in models]]), "users")
 
-    user_blocks, item_blocks, masks = spill(user_blocks, "users"), spill(item_blocks, "items"), spill(masks, "masks")
-    widths = items.select(*[F.size(m).alias(m) for m in models]).first()
-    item_bytes = n_items * 8 * (1 + sum(widths)) if widths else 0
-    types = dict(users.dtypes)
-    item_types = dict(items.dtypes)
-    return Scorer(
-        user_blocks, item_blocks, masks, held_scores, n_users, n_items, models, user, item,
-        item_block, user_block, item_bytes, {"user": types[user], "item": item_types[item]},
+    right = item_rows.select(
+        "_i", F.col(item).alias("_item"), *[F.col(m).alias(f"_v_{m}") for m in models],
+        F.floor(F.col("_i") / item_block).cast("int").alias("_rb"),
     )
+    item_blocks = spill(pack(right, "_rb", [f"_v_{m}" for m in models], ["_i", "_item"], "_i").drop("_i"), "items")
+    widths = item_rows.select(*[F.size(m).alias(m) for m in models]).first()
+    item_bytes = n_items * 8 * (1 + sum(widths)) if widths else 0
+    types = {"user": dict(users.dtypes)[user], "item": dict(items.dtypes)[item]}
+    return Scorer(user_blocks, item_blocks, masks, n_blocks, n_items, models, user, item, item_block, item_bytes, types)
 
 
 def _products(batch: pa.RecordBatch, row: int, models: list[str]) -> list[np.ndarray]:
@@ -175,22 +173,23 @@ def score_summary(scorer: Scorer) -> DataFrame:
     )
 
 
-def _mask(batch: pa.RecordBatch, row: int, shape: tuple[int, int], item_block: int) -> np.ndarray:
-    hidden = np.zeros(shape, dtype=bool)
-    cell = batch.column("_mask")[row]
-    if cell.is_valid:
-        places = np.asarray(cell.values)
-        hidden[places // item_block, places % item_block] = True
-    return hidden
+def _hidden(batch: pa.RecordBatch, row: int, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the train pairs within a block of scores."""
+    users, items = batch.column("_mask_user")[row], batch.column("_mask_item")[row]
+    if not users.is_valid:
+        return np.empty(0, dtype=int), np.empty(0, dtype=int)
+    rows = pc.index_in(users.values, value_set=ids)
+    known = rows.is_valid()
+    return np.asarray(rows.filter(known)), np.asarray(items.values.filter(known))
 
 
-def _blended(products: list[np.ndarray], blend: Blend) -> np.ndarray:
-    return blend.apply(products[0], products[1] if len(products) > 1 else None)
+def _both(products: list[np.ndarray], blend: Blend) -> tuple[np.ndarray, np.ndarray | None]:
+    return (products[0], None) if blend.alpha is None else blend.scaled(products[0], products[1])
 
 
 def heldout_ranks(scorer: Scorer, blends: Sequence[Blend]) -> DataFrame:
     """``(config, user, item, rank)``: 1 + candidates ranked before the held-out item, for each blend."""
-    models, user, item_block = scorer.models, scorer.user, scorer.item_block
+    models, user, item, item_block = scorer.models, scorer.user, scorer.item, scorer.item_block
     blends = list(blends)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,54 +197,70 @@ def heldout_ranks(scorer: Scorer, blends: Sequence[Blend]) -> DataFrame:
             for row in range(batch.num_rows):
                 products = _products(batch, row, models)
                 n_users, n_items = products[0].shape
-                shown = ~_mask(batch, row, (n_users, n_items), item_block)
+                ids, held_ids = batch.column(user)[row].values, batch.column("_held")[row].values
+                hidden = _hidden(batch, row, ids)
                 held = [np.asarray(batch.column(f"_s_{m}")[row].values)[:, None] for m in models]
                 place = np.asarray(batch.column("_hi")[row].values)[:, None]
                 first = batch.column("_rb")[row].as_py() * item_block
                 earlier = np.arange(first, first + n_items)[None, :] < place
-                ids = batch.column(user)[row].values
+                shared: dict = {}
                 for number, blend in enumerate(blends):
-                    scores, target = _blended(products, blend), _blended(held, blend)
-                    before = ((scores > target) | ((scores == target) & earlier)) & shown
+                    kind = None if blend.alpha is None else blend.extremes
+                    if kind not in shared:
+                        shared[kind] = (_both(products, blend), _both(held, blend))
+                    scores, target = (blend.mixed(*pair_) for pair_ in shared[kind])
+                    before = scores > target
+                    ties = scores == target
+                    ties &= earlier
+                    before |= ties
+                    before[hidden] = False
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n_users, number, dtype=np.int32)), ids, pa.array(before.sum(axis=1))],
-                        names=["_c", user, "n"],
+                        [pa.array(np.full(n_users, number, dtype=np.int32)), ids, held_ids, pa.array(before.sum(axis=1))],
+                        names=["_c", user, item, "n"],
                     )
 
-    counted = scorer.pairs(masked=True).mapInArrow(run, f"_c int, {user} {scorer.fields['user']}, n long")
+    kinds = scorer.fields
+    counted = scorer.pairs(masked=True).mapInArrow(run, f"_c int, {user} {kinds['user']}, {item} {kinds['item']}, n long")
     names = F.lit([b.name for b in blends])
-    ranks = counted.groupBy("_c", user).agg((F.sum("n") + 1).alias("rank"))
-    return ranks.join(scorer.held_scores.select(user, scorer.item), user).select(
-        names[F.col("_c")].alias("config"), user, scorer.item, "rank"
-    )
+    ranks = counted.groupBy("_c", user, item).agg((F.sum("n") + 1).alias("rank"))
+    return ranks.select(names[F.col("_c")].alias("config"), user, item, "rank")
+
+
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` greatest of each row, greatest first, equal ones in column order."""
+    k = min(k, scores.shape[1])
+    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+    above, ties = scores > least, scores == least
+    room = k - above.sum(axis=1, keepdims=True)
+    ties &= np.cumsum(ties, axis=1, dtype=np.int32) <= room
+    columns = np.nonzero(above | ties)[1].reshape(len(scores), k)
+    order = np.argsort(-np.take_along_axis(scores, columns, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(columns, order, axis=1)
 
 
 def top_k(scorer: Scorer, k: int, blend: Blend | None = None) -> DataFrame:
     """``(user, item, score, rank)``: the best ``k`` items of each user that are not in the train set."""
     blend = blend or Blend("")
-    models, user, item_block = scorer.models, scorer.user, scorer.item_block
+    models, user = scorer.models, scorer.user
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                products = _products(batch, row, models)
-                scores = _blended(products, blend)
-                scores = np.where(_mask(batch, row, scores.shape, item_block), -np.inf, scores)
-                keep = min(k, scores.shape[1])
-                # A stable sort keeps equal scores in item order.
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
-                kept = np.take_along_axis(scores, best, axis=1).ravel()
-                open_ = np.isfinite(kept)
                 ids, items = batch.column(user)[row].values, batch.column("_item")[row].values
-                rows = np.repeat(np.arange(len(scores)), keep)[open_]
+                scores = blend.mixed(*_both(_products(batch, row, models), blend))
+                scores[_hidden(batch, row, ids)] = -np.inf
+                best = _best(scores, k)
+                kept = np.take_along_axis(scores, best, axis=1)
+                open_ = np.isfinite(kept)
+                rows = np.broadcast_to(np.arange(len(scores))[:, None], best.shape)[open_]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows)), items.take(pa.array(best.ravel()[open_])), pa.array(kept[open_])],
+                    [ids.take(pa.array(rows)), items.take(pa.array(best[open_])), pa.array(kept[open_])],
                     names=[user, "item", "score"],
                 )
 
     schema = f"{user} {scorer.fields['user']}, item {scorer.fields['item']}, score double"
-    candidates = scorer.pairs(masked=True).mapInArrow(run, schema).withColumnRenamed("item", scorer.item)
-    return best_per_user(candidates, k, user, scorer.item)
+    found = scorer.pairs(masked=True).mapInArrow(run, schema).withColumnRenamed("item", scorer.item)
+    return best_per_user(found, k, user, scorer.item)
 
 
 def best_per_user(scores: DataFrame, k: int, user: str = "user_id", item: str = "item_id", score: str = "score") -> DataFrame:
@@ -325,4 +340,5 @@ def cosine_model(profiles: DataFrame, vectors: DataFrame, items: DataFrame, user
 
 
 def hybrid_score(content: Column, mf: Column, alpha: float, extremes: tuple[float, float, float, float]) -> Column:
-    return Blend("", alpha, extremes).apply(content, mf)
+    blend = Blend("", alpha, extremes)
+    return blend.mixed(*blend.scaled(content, mf))
