@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from shelfscout.session import task_count
+
 # A side of at most this many bytes is sent to every executor; a larger one is shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -53,7 +55,7 @@ def pair(
     if right_bytes <= BROADCAST_BYTES:
         return spread.join(F.broadcast(right), "_rb")
     # Few right blocks would mean few join keys: copy each right block under several salts.
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = task_count(left.sparkSession)
     salts = max(1, min(n_left, -(-4 * tasks // max(n_right, 1))))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted_left = spread.withColumn("_salt", F.col("_lb") % F.lit(salts))

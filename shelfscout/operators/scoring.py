@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfscout.functions.vectors import dot, on_grid, unit
 from shelfscout.operators.blocks import matrix, pack, pair
 from shelfscout.operators.ordered import with_position
-from shelfscout.session import spill
+from shelfscout.session import spill, task_count
 
 USER_BLOCK = 1024
 ITEM_BLOCK = 4096
@@ -114,6 +114,8 @@ def prepare(
     user_rows = user_rows.select(
         user, "_held", "_hi", *models, *[dot(m, f"_h_{m}").alias(f"_s_{m}") for m in models], bucket.alias("_lb")
     )
+    # Few, large rows: keep them in as many parts as there are tasks.
+    user_rows = user_rows.repartition(min(n_blocks, task_count(users.sparkSession)), "_lb")
     user_blocks = spill(pack(user_rows, "_lb", models, [user, "_held", "_hi", *[f"_s_{m}" for m in models]]), "users")
 
     right = item_rows.select(
@@ -316,10 +318,8 @@ def vector_sums(pairs: DataFrame, vectors: DataFrame, group: str, key: str, colu
     One sum per element, so that Spark combines before the shuffle; pairs without a vector count as zero.
     """
     joined = pairs.join(vectors.select(key, column), key, "left")
-    sums = joined.groupBy(group).agg(
-        F.count("*").alias("n"), *[F.coalesce(F.sum(F.get(column, F.lit(j))), F.lit(0.0)).alias(f"_{j}") for j in range(width)]
-    )
-    return sums.select(group, "n", F.array(*[F.col(f"_{j}") for j in range(width)]).alias("sums"))
+    elements = ", ".join(f"coalesce(sum(get({column}, {j})), 0.0D)" for j in range(width))
+    return joined.groupBy(group).agg(F.count("*").alias("n"), F.expr(f"array({elements})").alias("sums"))
 
 
 def user_profiles(train: DataFrame, vectors: DataFrame, width: int, user: str = "user_id", item: str = "item_id", column: str = "vec") -> DataFrame:

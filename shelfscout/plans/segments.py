@@ -51,10 +51,10 @@ def tag_space(
     vocabulary = spill(labels.vocabulary(tokens, min_freq, None), "tag-vocabulary")
     cells = spill(labels.multi_hot(tokens, vocabulary, key), "tag-cells")
     n_tags = vocabulary.count()
-    rows = spill(labels.sparse_rows(cells, key, keys=tagged), "tag-rows")
+    rows = spill(labels.sparse_rows(cells, key, keys=tagged), "tag-rows", key)
     model = reduction.fit_svd(rows, n_tags, components)
-    svd = spill(reduction.project(rows, key, model), "tag-svd")
-    l2 = spill(svd.select(key, unit("vec").alias("vec")), "tag-l2")
+    svd = spill(reduction.project(rows, key, model), "tag-svd", key)
+    l2 = spill(svd.select(key, unit("vec").alias("vec")), "tag-l2", key)
     return TagSpace(cells, rows, svd, l2, n_tags, model.loadings.shape[1])
 
 
@@ -106,9 +106,9 @@ def run_segments(
 
     columns = numeric_columns or numeric.numeric_column_set(with_dates=False)
     block = numeric.as_array(numeric.numeric_block(catalog.where(has_tags("tags")), key, columns), key, columns)
-    block = spill(block, "numeric")
+    block = spill(block, "numeric", key)
     pca = reduction.fit_pca(block, len(columns), min(10, len(columns)))
-    reduced = spill(reduction.project(block, key, pca), "pca10")
+    reduced = spill(reduction.project(block, key, pca), "pca10", key)
     for row in clustering.lloyd_descent(reduced, key, k, [1, 2, 3, 4, 5]).collect():
         for metric in ("j_before", "j_after", "delta_j"):
             log.add(f"lloyd_seed={row['seed']}", metric, round(row[metric], 0 if metric == "delta_j" else 1))

@@ -73,7 +73,7 @@ def pca_scatter(spark, folder):
 def _text_rows(spark, folder):
     docs = tables.documents(spark, folder)
     weights, vocab = text.text_block(docs, "doc_id")
-    return spill(labels.sparse_rows(weights, "doc_id", "weight", keys=docs), "text-rows"), vocab.count()
+    return spill(labels.sparse_rows(weights, "doc_id", "weight", keys=docs), "text-rows", "doc_id"), vocab.count()
 
 
 def _text_svd(spark, folder):
@@ -131,7 +131,7 @@ def content_vectors(spark, folder):
 
 
 def _vector_points(spark, folder):
-    rows = spill(tables.vectors(spark, folder).select("id", unit("vec").alias("vec")), "points")
+    rows = spill(tables.vectors(spark, folder).select("id", unit("vec").alias("vec")), "points", "id")
     return rows, rows.select(F.size("vec")).first()[0]
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: everything here may be changed on a live session.
@@ -27,6 +29,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings every job in this package relies on; returns the same session."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # Functions that run in tasks travel with them, so executors need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules["shelfscout"])
     return spark
 
 
@@ -64,13 +68,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def spill(df: DataFrame, label: str = "spill") -> DataFrame:
+def task_count(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spill(df: DataFrame, label: str = "spill", spread_by: str | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
     This cuts the lineage, survives the loss of executors, freezes values that depend on the physical
-    plan (partition ids) and gives later joins a measured size to choose by.
+    plan (partition ids) and gives later joins a measured size to choose by. ``spread_by`` keeps the rows in
+    ``spark.sql.shuffle.partitions`` parts, for tables that are small in bytes but costly to work through.
     """
     spark = df.sparkSession
+    if spread_by is not None:
+        df = df.repartition(task_count(spark), spread_by)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
