@@ -10,6 +10,7 @@ from shelfscout.functions.vectors import unit
 from shelfscout.operators import numeric, reduction
 from shelfscout.operators.clustering import assign_nearest
 from shelfscout.queries.aggregates import ENRICHED, enriched
+from shelfscout.queries.features import SEGMENT_TOKENS, tag_cells
 from shelfscout.queries.models import item_numbers
 from shelfscout.queries.ranking import HIT_RATES, POPULARITY, popularity_hr
 from shelfscout.queries.registry import INTERACTIONS, query
@@ -154,10 +155,12 @@ def scan_interactions(spark, folder):
     return store.scan_interactions(spark, out, ["user_id", "item_id"])
 
 
-@query("sink_features")
+@query(
+    "sink_features",
+    f"""WITH {SEGMENT_TOKENS} SELECT 'numeric' AS block, count(*) AS n FROM part UNION ALL SELECT 'tags', count(*) FROM cells
+    UNION ALL SELECT 'tags_vocabulary', count(*) FROM kept""",
+)
 def sink_features(spark, folder):
-    from shelfscout.queries.features import tag_cells
-
     block, _ = item_numbers(spark, folder)
     cells, vocabulary = tag_cells(spark, folder)
     out = scratch_path(spark, "features")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfscout.functions import scalars as S
 from shelfscout.functions.tokens import content_blob, segment_labels
 from shelfscout.functions.vectors import unit
 from shelfscout.operators import clustering, evaluation, factorization, labels, numeric, reduction, reviews, scoring, text
 from shelfscout.operators.clustering import KMeansSpec
 from shelfscout.plans import features as feature_plan, recommend as recommend_plan, segments as segment_plan
 from shelfscout.queries.ranking import split
-from shelfscout.queries.registry import query
+from shelfscout.queries.registry import SPLIT, query, r6
 from shelfscout.session import spill
 from shelfscout.sources import tables
 
@@ -200,6 +201,42 @@ def _factors(spark, folder, k=10):
     return pairs, train, held, factorization.fit_factors(train, k)
 
 
+def _start(table: str, key: str, letter: str) -> str:
+    def uniform(draw: int) -> str:
+        text = f"'42|{letter}|' || dim || '|{draw}|' || {key}"
+        return f"((('0x' || substr(md5({text}), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE)"
+
+    return (
+        f"(SELECT {key}, dim, sqrt(-2 * ln({uniform(0)})) * cos({uniform(1)} * 2 * pi()) * 0.1::DOUBLE AS v "
+        f"FROM (SELECT DISTINCT {key} FROM {table}), range(10) r(dim))"
+    )
+
+
+@query(
+    "mf_first_step",
+    f"""WITH {SPLIT},
+    p AS {_start('train', 'user_id', 'p')}, q AS {_start('train', 'item_id', 'q')},
+    e AS (SELECT t.user_id, t.item_id, 1 - sum(p.v * q.v) AS e, sum(p.v * p.v) AS l FROM train t
+      JOIN p ON p.user_id = t.user_id JOIN q ON q.item_id = t.item_id AND q.dim = p.dim GROUP BY ALL),
+    s AS (SELECT item_id, count(*) AS n, avg(l) + 0.01::DOUBLE AS c FROM e GROUP BY item_id),
+    g AS (SELECT e.item_id, p.dim, sum(e.e * p.v) AS g FROM e JOIN p ON p.user_id = e.user_id GROUP BY ALL)
+    SELECT q.item_id, q.dim::INT AS dim,
+      {r6('q.v + (1 - pow(greatest(1 - 0.03::DOUBLE * c, 0), n)) / (n * c) * (g - n * 0.01::DOUBLE * q.v)')} AS value
+    FROM q JOIN s ON s.item_id = q.item_id JOIN g ON g.item_id = q.item_id AND g.dim = q.dim""",
+)
+def mf_first_step(spark, folder):
+    """Item factors after the first half epoch from the initial factors."""
+    _, train, _ = split(spark, folder)
+    users = factorization.initial_factors(train.select("user_id").distinct(), "user_id", "p", 10, factorization.SEED)
+    items = factorization.initial_factors(train.select("item_id").distinct(), "item_id", "q", 10, factorization.SEED)
+    moved = factorization.half_epoch(
+        train, spill(users, "p"), spill(items, "q"), "user_id", "item_id", "p", "q", 10,
+        factorization.LEARNING_RATE, factorization.REGULARIZATION,
+    )
+    values = F.posexplode(F.array(*[f"q{j}" for j in range(10)])).alias("dim", "value")
+    return moved.select("item_id", values).withColumn("value", S.rounded("value"))
+
+
 @query("mf_factors")
 def mf_factors(spark, folder):
     _, _, _, model = _factors(spark, folder)

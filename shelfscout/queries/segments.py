@@ -107,12 +107,19 @@ def silhouette_sampled(spark, folder):
     return found.select(S.rounded("silhouette").alias("silhouette"), "n")
 
 
-@query("silhouette_full")
+@query(
+    "silhouette_full",
+    f"""WITH e AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS vec FROM embeddings),
+    d AS (SELECT p.id, p.label AS own, c.label AS other, sum({DISTANCE}) AS d, count(*) AS n FROM e p, e c GROUP BY ALL),
+    v AS (SELECT id, max(n) FILTER (own = other) AS size, max(d / greatest(n - 1, 1)) FILTER (own = other) AS a,
+      min(d / n) FILTER (own <> other) AS b FROM d GROUP BY id)
+    SELECT {r6('avg(CASE WHEN size <= 1 THEN 0 ELSE (b - a) / greatest(a, b) END)')} AS silhouette FROM v""",
+)
 def silhouette_full(spark, folder):
     """Squared-Euclidean silhouette of all rows, linear in their number."""
     rows = tables.vectors(spark, folder)
     value = clustering.silhouette_full(rows.select("id", "vec"), rows.select("id", F.col("label").alias("cluster")), "id")
-    return spark.createDataFrame([(value,)], "silhouette double")
+    return spark.createDataFrame([(value,)], "silhouette double").select(S.rounded("silhouette").alias("silhouette"))
 
 
 @query(

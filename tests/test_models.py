@@ -199,7 +199,7 @@ def test_one_pair_moves_as_in_plain_descent(spark):
     pairs = spark.createDataFrame([(1, 5)], "user_id long, item_id long")
     users = spark.createDataFrame([(1, 0.2, -0.1)], "user_id long, p0 double, p1 double")
     items = spark.createDataFrame([(5, 0.3, 0.4)], "item_id long, q0 double, q1 double")
-    moved = factorization._half_epoch(pairs, users, items, "user_id", "item_id", "p", "q", 2, 0.03, 0.01).first()
+    moved = factorization.half_epoch(pairs, users, items, "user_id", "item_id", "p", "q", 2, 0.03, 0.01).first()
     p, q = np.array([0.2, -0.1]), np.array([0.3, 0.4])
     want = q + 0.03 * ((1 - p @ q) * p - 0.01 * q)
     assert [moved["q0"], moved["q1"]] == pytest.approx(want)
@@ -210,7 +210,7 @@ def test_constant_example_loss(spark):
     pairs = spark.createDataFrame([(1, 5), (2, 5)], "user_id long, item_id long")
     users = spark.createDataFrame([(1, 0.9), (2, 1.0)], "user_id long, p0 double")
     items = spark.createDataFrame([(5, 1.0)], "item_id long, q0 double")
-    seen = factorization._half_epoch(pairs, users, items, "user_id", "item_id", "p", "q", 1, 0.03, 0.0)
+    seen = factorization.half_epoch(pairs, users, items, "user_id", "item_id", "p", "q", 1, 0.03, 0.0)
     row = seen.agg((F.sum("_sq") / F.sum("_n")).alias("loss")).first()
     assert row["loss"] == pytest.approx(0.005)
 
