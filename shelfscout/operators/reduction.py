@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfscout.operators.dense import chunks, double_lists
 
@@ -144,19 +144,20 @@ def reconstruction_error(rows: DataFrame, projected: DataFrame, projection: Proj
     if projection.mean.any():
         centre = F.lit(projection.mean.tolist())
         rows = rows.withColumn(source, F.zip_with(source, centre, lambda x, m: x - m))
-    whole = rows.agg(_energy(source).alias("whole"))
+    whole = rows.agg(_energy(source).alias("whole")).withColumn("kept", F.lit(None).cast("double"))
     kept = projected.agg(_energy("vec").alias("kept"))
+    both = whole.unionByName(kept, allowMissingColumns=True).agg(F.max("whole").alias("whole"), F.max("kept").alias("kept"))
     error = F.sqrt(F.greatest(F.col("whole") - F.col("kept"), F.lit(0.0)))
-    return whole.join(kept).select(
+    return both.select(
         error.alias("frobenius_error"),
         F.when(F.col("whole") > 0, error / F.sqrt("whole")).alias("relative_error"),
     )
 
 
-def spectrum(df_session, values: Sequence[float], name: str = "share") -> DataFrame:
+def spectrum(spark: SparkSession, values: Sequence[float], name: str = "share") -> DataFrame:
     """``(component, name)``, one row per component (a few hundred at most)."""
     rows = [(i + 1, float(v)) for i, v in enumerate(values)]
-    return df_session.createDataFrame(rows, f"component int, {name} double")
+    return spark.createDataFrame(rows, f"component int, {name} double")
 
 
 def cumulative(shares: DataFrame, index: str = "component", share: str = "share") -> DataFrame:

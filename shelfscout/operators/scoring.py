@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfscout.functions.scalars import clean_number
 from shelfscout.functions.vectors import dot, on_grid, unit
 from shelfscout.operators.blocks import matrix, pack, pair
 from shelfscout.operators.ordered import with_position
@@ -292,7 +293,7 @@ def heldout_ranks_of_scores(
 def popularity_scores(items: DataFrame, counts: DataFrame, item: str = "item_id", column: str = "recommendations") -> DataFrame:
     """``(item, score)`` for the item universe; an item without a count scores 0."""
     return items.join(counts.select(item, column), item, "left").select(
-        item, F.coalesce(F.col(column).cast("double"), F.lit(0.0)).alias("score")
+        item, F.coalesce(clean_number(column), F.lit(0.0)).alias("score")
     )
 
 

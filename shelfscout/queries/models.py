@@ -192,7 +192,8 @@ def segment_profiles(spark, folder):
 def ari_stability(spark, folder):
     rows, width = _vector_points(spark, folder)
     scores = spill(clustering.stability(rows, "id", 6, [0, 1, 2, 3, 4], width), "ari")
-    return scores.join(F.broadcast(clustering.stability_summary(scores)))
+    summary = clustering.stability_summary(scores).first().asDict()
+    return scores.withColumns({name: F.lit(value) for name, value in summary.items()})
 
 
 def _factors(spark, folder, k=10):
