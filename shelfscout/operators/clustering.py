@@ -212,18 +212,16 @@ def _spread_starts(points: DataFrame, key: str, specs: list[tuple[int, int, int]
 
 
 def fit_kmeans(
-    points: DataFrame, key: str, specs: Sequence[KMeansSpec], width: int, max_iter: int = 100, tol: float = 1e-4
+    points: DataFrame, key: str, specs: Sequence[KMeansSpec], width: int, max_iter: int = 300, tol: float = 1e-4
 ) -> list[KMeansFit]:
     """All restarts of all ``specs`` at once: every pass over the points advances each run by one step.
 
     ``points`` is read once per pass, so hand in a written table. Runs that have settled drop out.
     """
     plan = [(n, s.k, s.seed, r) for n, s in enumerate(specs) for r in range(s.n_init)]
-    moments = points.agg(
-        F.sum(F.aggregate("vec" if "vec" in points.columns else "values", F.lit(0.0), lambda a, x: a + x * x)).alias("e"),
-        F.count("*").alias("n"),
-    ).first()
-    threshold = tol * (moments["e"] or 0.0) / max(moments["n"], 1) / width
+    # Against a centre at the origin a step returns the mean, the count and the sum of squares.
+    mean, count, squares = _step(points, [np.zeros((1, width))])[0]
+    threshold = tol * max(squares / max(count[0], 1) - float((mean**2).sum()), 0.0) / width
     runs = _spread_starts(points, key, [p[1:] for p in plan], width)
     done: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
     active = list(range(len(plan)))
