@@ -91,20 +91,23 @@ def prepare(
     item block at most ``item_block``.
     """
     models = list(models)
-    item_rows = with_position(items.select(item, *models), [item], "_i")
-    n_items = item_rows.count()
+    # Only the ids are sorted; the vectors join their places afterwards.
+    vectors = spill(items.select(item, *models), "item-vectors")
+    places = with_position(vectors.select(item), [item], "_i")
+    item_rows = vectors.join(places, item)
+    n_items = vectors.count()
     n_blocks = max(1, -(-heldout.count() // user_block))
     bucket = F.pmod(F.xxhash64(user), F.lit(n_blocks)).cast("int")
 
     # Train pairs move as (user, place of the item): a cell is at most a dense block pair, a hot user or item
     # is spread over the blocks of the other side.
-    places = train.join(item_rows.select(item, "_i"), item).select(
+    cells = train.join(places, item).select(
         bucket.alias("_lb"),
         F.floor(F.col("_i") / item_block).cast("int").alias("_rb"),
         F.col(user).alias("_mask_user"),
         (F.col("_i") % item_block).cast("int").alias("_mask_item"),
     )
-    masks = places.groupBy("_lb", "_rb").agg(F.collect_list(F.struct("_mask_user", "_mask_item")).alias("_m"))
+    masks = cells.groupBy("_lb", "_rb").agg(F.collect_list(F.struct("_mask_user", "_mask_item")).alias("_m"))
     masks = spill(masks.select("_lb", "_rb", "_m._mask_user", "_m._mask_item"), "masks")
 
     held_items = item_rows.select(
@@ -124,7 +127,7 @@ def prepare(
         F.floor(F.col("_i") / item_block).cast("int").alias("_rb"),
     )
     item_blocks = spill(pack(right, "_rb", [f"_v_{m}" for m in models], ["_i", "_item"], "_i").drop("_i"), "items")
-    widths = item_rows.select(*[F.size(m).alias(m) for m in models]).first()
+    widths = vectors.select(*[F.size(m).alias(m) for m in models]).first()
     item_bytes = n_items * 8 * (1 + sum(widths)) if widths else 0
     types = {"user": dict(users.dtypes)[user], "item": dict(items.dtypes)[item]}
     return Scorer(user_blocks, item_blocks, masks, n_blocks, n_items, models, user, item, item_block, item_bytes, types)
