@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfscout.functions import scalars as S
 from shelfscout.operators import evaluation, interactions as inter, labels, reduction, sampling, scoring
 from shelfscout.queries.cleaning import TOKENS
-from shelfscout.queries.registry import CATALOG, INTERACTIONS, PAIRS, SPLIT, query, r6
+from shelfscout.queries.registry import INTERACTIONS, PAIRS, SPLIT, query, r6
 from shelfscout.session import spill
 from shelfscout.sources import tables
 from shelfscout.sources.schema import LABEL_COLUMNS
