@@ -120,5 +120,10 @@ def find_pii(df: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS)
     return df.select(*others(df, ADDED), F.concat(*[_spans(body, k) for k in kinds]).alias("spans"))
 
 
+def of_kind(spans: Column, kind: str) -> Column:
+    """Number of spans of this kind."""
+    return F.size(F.filter(spans, lambda s: s.getField("kind") == kind)).cast("long")
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.getField("kind"), s.getField("start"), s.getField("end"))), ",")
