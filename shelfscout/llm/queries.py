@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfscout.llm import mixing, pii, sharding, urls
+from shelfscout.llm import mixing, pii, sharding, simhash, topk, urls
 from shelfscout.llm.common import named, table
 from shelfscout.session import configure
 
@@ -47,6 +47,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_simhash")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op3_url_filter")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict for every page's url."""
@@ -99,3 +105,22 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.joined(F.filter(spans, lambda s: F.array_contains(base, s.getField("kind")))).cast("binary"), 256).alias("base_sha256"),
         pii.joined(spans).alias("spans"),
     )
+
+
+@query(
+    "op10_top_products",
+    """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20""",
+)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector."""
+    return topk.top_products(table(spark, folder, "embeddings").select("vec_id", "embedding"))
