@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import pickle
+from collections.abc import Callable, Sequence
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A word of the contracts: a run of anything but space and the ASCII control blanks.
@@ -40,3 +43,16 @@ def unpacked(row: str, df: DataFrame, added: Sequence[str]) -> list[Column]:
 def ascii_lower(text: Column) -> Column:
     """Lower case for A-Z only."""
     return F.translate(text, _UPPER, _LOWER)
+
+
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A bounded object for the tasks: sent once per executor, by value, and unpacked once per task."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    held: list = []
+
+    def get() -> Any:
+        if not held:
+            held.append(pickle.loads(sent.value))
+        return held[0]
+
+    return get

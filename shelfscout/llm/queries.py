@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfscout.llm import mixing, pii, sharding, simhash, topk, urls
+from shelfscout.llm import decontaminate, mixing, pii, quality, sharding, simhash, topk, urls
 from shelfscout.llm.common import named, table
 from shelfscout.session import configure
 
@@ -92,6 +92,20 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+@query("op7_decontamination")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and how much of it."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, folder, "benchmark"))
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity of every document and whether it stays."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return quality.judge(docs, table(spark, folder, "labels"), carry=False)
+
+
 @query("op9_pii")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document."""
