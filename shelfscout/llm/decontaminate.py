@@ -32,7 +32,7 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 PART_OVERLAP = 0.5
 K1, B = 1.2, 0.75
-BLOCK_ITEMS = 16
+BLOCK_ITEMS = 4
 SLICE_ITEMS = 2000
 
 HIT = T.ArrayType(
@@ -134,8 +134,9 @@ class Index:
         open_ = self.block_max[terms].sum(axis=0) >= 1
         if not open_.any():
             return np.empty(0, np.int64), np.empty(0)
-        spans = [np.arange(self.starts[t], self.starts[t + 1]) for t in terms]
-        rows = np.concatenate(spans)
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        ends = np.cumsum(sizes)
+        rows = np.arange(ends[-1]) + np.repeat(self.starts[terms] - ends + sizes, sizes)
         rows = rows[open_[self.places[rows] // BLOCK_ITEMS]]
         scores = np.bincount(self.places[rows], self.weights[rows], len(self.items))
         found = np.flatnonzero(scores >= 1)
