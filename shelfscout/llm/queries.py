@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfscout.llm import decontaminate, mixing, pii, quality, sharding, simhash, topk, urls
+from shelfscout.llm import attention, decontaminate, html, mixing, pii, quality, sharding, simhash, topk, urls
 from shelfscout.llm.common import named, table
 from shelfscout.session import configure
 
@@ -92,6 +92,19 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+@query("op5_lm_score")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """log10 probability of every document under the attention model and under the unigram base."""
+    return attention.score_texts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op6_html_text")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html.extract(spark, pages).select("page_id", "url", "text", "n_chars")
+
+
 @query("op7_decontamination")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and how much of it."""
