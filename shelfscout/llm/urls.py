@@ -76,7 +76,7 @@ def _entropy(text: Column) -> Column:
 def lexical(df: DataFrame, url: Column) -> DataFrame:
     """Add the features that one url gives by itself; needs ``host``, ``path`` and ``suffix``."""
     body, host, path = F.coalesce(url, F.lit("")), F.col("host"), F.col("path")
-    owner = F.element_at(F.split(host, r"\."), -3)
+    owner = F.try_element_at(F.split(host, r"\."), F.lit(-3))
     digits = lambda c: F.regexp_replace(c, "[^0-9]", "")
     return df.withColumns(
         {
