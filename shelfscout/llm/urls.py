@@ -141,8 +141,8 @@ def judge_urls(
     bare = parts.select("_url", "host", "path", "suffix", "said")
     featured = lexical(bare, F.col("_url")).join(suffix_statistics(bare), "suffix")
     spam = F.col("host").rlike("|".join(block_words)) if block_words else F.lit(False)
-    labelled = featured.where(spam | F.col("said").isNotNull()).select(
-        *FEATURES, F.when(spam | (F.col("said") == "block"), 1.0).otherwise(0.0).alias("label"), F.col("_url").alias("_row_hash")
+    labelled = featured.where(spam | (F.col("said") == "allow")).select(
+        *FEATURES, F.when(spam, 1.0).otherwise(0.0).alias("label"), F.col("_url").alias("_row_hash")
     )
     model = fit_urls(labelled, sample_rows)
     judged = lexical(parts, F.col("_url")).join(suffix_statistics(bare), "suffix")
