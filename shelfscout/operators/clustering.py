@@ -193,7 +193,7 @@ def _spread_starts(points: DataFrame, key: str, specs: list[tuple[int, int, int]
                     for i in open_:
                         weight = _distances(piece, known[i]).min(axis=1) if len(known[i]) else np.ones(len(piece))
                         with np.errstate(divide="ignore"):
-                            race = np.where(weight > 1e-9, -np.log(_mixed(part, salts[i])) / weight, np.inf)
+                            race = np.where(weight > 0, -np.log(_mixed(part, salts[i])) / weight, np.inf)
                         win = int(race.argmin())
                         entry = (float(race[win]), int(part[win]), piece[win])
                         if i not in best or entry[:2] < best[i][:2]:

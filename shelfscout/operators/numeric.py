@@ -116,10 +116,15 @@ def as_array(block: DataFrame, key: str, columns: Sequence[str], name: str = "ve
 
 
 def capped_histogram(df: DataFrame, column: str, bins: int = 60, cap: float | None = 0.99) -> DataFrame:
-    """Equal-width histogram of a column capped at a quantile: ``(bin, low, high, n)``; the last bin is closed."""
+    """Equal-width histogram of a column capped at a quantile: ``(bin, low, high, n)``; the last bin is closed.
+
+    A column without any value has no bins.
+    """
     counts = value_counts(
         df.select(clean_number(column).alias("value")).where(F.col("value").isNotNull()), [], "value"
     )
+    if counts.isEmpty():
+        return counts.selectExpr("cast(null as int) AS bin", "value AS low", "value AS high", "weight AS n")
     if cap is not None:
         limit = weighted_quantiles(counts, [], "value", "weight", [cap]).first()["quantile"]
         counts = counts.withColumn("value", clip("value", None, limit))

@@ -6,6 +6,7 @@ header of each file is looked at first and the files of one header are read toge
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
@@ -18,7 +19,9 @@ from shelfscout.session import spill
 from shelfscout.sources.schema import ITEM_KEY, REVIEW_SCHEMA
 
 FILE_NAME_KEY = r"([^/]+)\.csv$"
-HEADER_BYTES = 1 << 16
+CHUNK_BYTES = 1 << 16
+# Commas outside of quotes.
+CELL_BREAK = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 @dataclass
@@ -53,7 +56,10 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 system, inner = fs.FileSystem.from_uri(quote(path, safe=":/="))
                 with system.open_input_stream(inner) as stream:
-                    line = stream.read(HEADER_BYTES).split(b"\n", 1)[0]
+                    line = b""
+                    while b"\n" not in line and (more := stream.read(CHUNK_BYTES)):
+                        line += more
+                    line = line.split(b"\n", 1)[0]
                 headers.append(line.decode("utf-8-sig").strip("\r"))
             except (OSError, UnicodeDecodeError, ValueError) as problem:
                 headers.append(f"!{problem}")
@@ -65,7 +71,7 @@ def probe_headers(files: DataFrame, required: Sequence[str]) -> DataFrame:
     spread = files.repartition(F.col("path"))
     schema = T.StructType([*files.schema.fields, T.StructField("header", T.StringType())])
     probed = spread.mapInPandas(_first_lines, schema)
-    names = F.transform(F.split("header", ","), lambda n: F.trim(F.regexp_replace(n, '"', "")))
+    names = F.transform(F.split("header", CELL_BREAK), lambda n: F.trim(F.regexp_replace(n, '"', "")))
     absent = F.array_except(F.lit(list(required)), names)
     return probed.withColumn(
         "reason",
@@ -125,7 +131,7 @@ def scan_reviews(
 
 
 def _read_group(spark: SparkSession, header: str, paths: list[str], multi_line: bool) -> DataFrame:
-    names = [n.strip().strip('"') for n in header.split(",")]
+    names = [n.strip() for n in next(csv.reader([header]))]
     fields = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_spare"]])
     raw = (
@@ -135,7 +141,8 @@ def _read_group(spark: SparkSession, header: str, paths: list[str], multi_line:
     )
     cell = {name: F.col(field) for name, field in zip(names, fields)}
     return raw.select(
-        to_number(cell["recommendationid"]).cast("long").alias("recommendationid"),
+        # By way of a double only where the id is not written as a whole number: large ids would change.
+        F.coalesce(F.trim(cell["recommendationid"]).try_cast("long"), to_number(cell["recommendationid"]).cast("long")).alias("recommendationid"),
         F.trim(cell["author_steamid"]).alias("author_steamid"),
         flag(cell["voted_up"]).cast("boolean").alias("voted_up"),
         to_number(cell["author_playtime_forever"]).alias("author_playtime_forever"),

@@ -133,3 +133,20 @@ def test_clustered_table_spreads_a_hot_key(spark, tmp_path):
     assert back.count() == 20000
     files = back.where("item_id = 7").selectExpr("_metadata.file_path as f").distinct().count()
     assert files > 1
+
+
+def test_headers_with_quotes_and_beyond_one_read(spark, tmp_path):
+    from shelfscout.sources.reviews import scan_reviews
+
+    names = "recommendationid,author_steamid,voted_up,author_playtime_forever"
+    (tmp_path / "1.csv").write_text(f'"x, y",{names}\n"k, l",9007199254740993,u2,True,7\n')
+    (tmp_path / "2.csv").write_text(",".join(f"pad{i}" for i in range(12_000)) + f",{names}\n" + "," * 12_000 + "3,u3,False,1\n")
+    scan = scan_reviews(spark, str(tmp_path))
+    got = {r["recommendationid"]: r["author_steamid"] for r in scan.rows.collect()}
+    assert got.get(9007199254740993) == "u2" and scan.quarantine.count() == 0 and len(got) == 2
+
+
+def test_histogram_of_nothing(spark):
+    from shelfscout.operators.numeric import capped_histogram
+
+    assert capped_histogram(spark.createDataFrame([(None,)], "playtime double"), "playtime").count() == 0
