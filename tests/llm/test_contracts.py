@@ -208,6 +208,45 @@ def test_windows_score_each_token_once():
         assert target[target >= 0].tolist() == [*ids.tolist(), attention.END] and len(seen) == len(target)
 
 
+def test_scorer_agrees_with_the_network():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for size in (0.1, 1.0, 40.0):
+        net = attention.Network.fresh(rng.integers(0, 1000, 256).astype(float))
+        for name in ("embed", "query", "key", "unembed"):
+            net.p[name] *= np.float32(size / 0.1)
+        for n in (0, 5, 31, 32, 400):
+            seen, target = attention.windows(rng.integers(1, 256, n))
+            assert attention.Scorer(net).logs(seen, target) == pytest.approx(net.logs(seen, target).sum(axis=1), rel=2e-4, abs=2e-3)
+
+
+def test_gradients_against_differences():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    net = attention.Network.fresh(rng.integers(0, 1000, 20).astype(float), width=4, context=4)
+    net = attention.Network({n: v.astype(np.float64) for n, v in net.p.items()})
+    seen, target = attention.windows(rng.integers(1, 20, 9), context=4)
+    loss = lambda: -net.logs(seen, target).sum() * math.log(10) / (target >= 0).sum()
+    for name, slope in net.gradients(seen, target).items():
+        for at in [tuple(rng.integers(0, n) for n in slope.shape) for _ in range(4)]:
+            kept, step = net.p[name][at], 1e-5
+            net.p[name][at] = kept + step
+            high = loss()
+            net.p[name][at] = kept - step
+            low = loss()
+            net.p[name][at] = kept
+            assert slope[at] == pytest.approx((high - low) / (2 * step), rel=1e-3, abs=1e-5)
+
+
+def test_leading_subword():
+    vocabulary = {b" a": 1, b" abcd": 2, b"abcde": 3, b" b": 4, b" " + b"c" * 16: 5}
+    starts = attention.prefixes(vocabulary)
+    want = {b"abc": 1, b"abcdef": 2, b"x": -1, b"bb": 4, b"c" * 40: 5, b"c" * 15: -1, b"": -1}
+    assert {w: attention.leading(w, starts) for w in want} == want
+
+
 def test_attention_beats_the_base(spark, folder):
     got = QUERIES["op5_lm_score"](spark, folder).where("held_out").toPandas()
     assert got["score"].sum() > got["base_score"].sum()
