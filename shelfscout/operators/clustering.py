@@ -8,20 +8,20 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfscout.functions.scalars import rounded
 from shelfscout.functions.vectors import GRID
 from shelfscout.operators.blocks import matrix, pack, pair
-from shelfscout.operators.dense import chunks
+from shelfscout.operators.dense import chunks, double_lists
 from shelfscout.operators.ordered import with_position
 from shelfscout.operators.sampling import fixed_sample
 from shelfscout.session import spill
 
 SAMPLE_BLOCK = 1024
-MAX_SUM_COLUMNS = 128
+# Columns of a sum that one row carries; wider sums take several rows.
+SUM_COLUMNS = 128
 
 
 def _snapped(values: np.ndarray) -> np.ndarray:
@@ -100,6 +100,8 @@ def _step(points: DataFrame, runs: list[np.ndarray]) -> list[tuple[np.ndarray, n
     stacked = np.concatenate(snapped)
     starts = np.cumsum([0] + [len(c) for c in snapped])
     width = stacked.shape[1]
+    columns = max(1, min(width, SUM_COLUMNS))
+    slices = -(-width // columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, sizes, sse = np.zeros_like(stacked), np.zeros(len(stacked)), np.zeros(len(stacked))
@@ -114,27 +116,25 @@ def _step(points: DataFrame, runs: list[np.ndarray]) -> list[tuple[np.ndarray, n
                     sizes[lo:hi] += member.sum(axis=0)
                     sse[lo:hi] += np.where(member, d2[:, lo:hi], 0.0).sum(axis=0)
         used = np.flatnonzero(sizes)
-        offsets = pa.array(np.arange(0, (len(used) + 1) * width, width, dtype=np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array(sums[used].ravel()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), lists, pa.array(sizes[used]), pa.array(sse[used])],
-            names=["c", "s", "n", "sse"],
-        )
-
-    parts = points.select(*_columns(points)).mapInArrow(run, "c int, s array<double>, n double, sse double")
-    counted = [F.sum("n").alias("n"), F.sum("sse").alias("sse")]
-    if width <= MAX_SUM_COLUMNS:
-        # Plain sums of grid values are exact in any order.
-        sums = ", ".join(f"sum(s[{j}])" for j in range(width))
-        totals = parts.groupBy("c").agg(F.expr(f"array({sums}) AS s"), *counted)
-    else:
-        totals = parts.groupBy("c").agg(
-            vector_to_array(Summarizer.sum(array_to_vector(F.col("s")))).alias("s"), *counted
-        )
+        padded = np.pad(sums[used], ((0, 0), (0, slices * columns - width))).reshape(-1, columns)
+        each = lambda values: pa.array(np.repeat(values[used], slices))
+        cells = [
+            pa.array(np.repeat(used, slices).astype(np.int32)), pa.array(np.tile(np.arange(slices, dtype=np.int32), len(used))),
+            double_lists(padded), each(sizes), each(sse),
+        ]
+        yield pa.RecordBatch.from_arrays(cells, names=["c", "slice", "s", "n", "sse"])
+
+    parts = points.select(*_columns(points)).mapInArrow(run, "c int, slice int, s array<double>, n double, sse double")
+    # Plain sums of grid values are exact in any order.
+    summed = ", ".join(f"sum(s[{j}])" for j in range(columns))
+    totals = parts.groupBy("c", "slice").agg(F.expr(f"array({summed}) AS s"), F.sum("n").alias("n"), F.sum("sse").alias("sse"))
     centres, sizes, sse = stacked.copy(), np.zeros(len(stacked)), np.zeros(len(stacked))
     for row in totals.collect():
-        centres[row["c"]] = np.array(row["s"]) / row["n"]
-        sizes[row["c"]], sse[row["c"]] = row["n"], row["sse"]
+        first = row["slice"] * columns
+        mean = np.array(row["s"]) / row["n"]
+        centres[row["c"], first : first + columns] = mean[: width - first]
+        if not row["slice"]:
+            sizes[row["c"]], sse[row["c"]] = row["n"], row["sse"]
     return [
         (centres[lo:hi], sizes[lo:hi], float(sse[lo:hi].sum())) for lo, hi in zip(starts[:-1], starts[1:])
     ]

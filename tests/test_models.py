@@ -92,6 +92,18 @@ def test_ties_take_the_lowest_cluster(spark):
     assert got["cluster"] == 0
 
 
+def test_wide_sums_do_not_depend_on_partitions(spark):
+    x = np.random.default_rng(3).random((90, 300))
+    points = dense(spark, x)
+    found = [clustering._step(points.repartition(n), [x[:4]])[0] for n in (1, 3, 7)]
+    grid = clustering._snapped(x)
+    nearest = clustering._distances(grid, grid[:4]).argmin(axis=1)
+    for centres, sizes, _ in found:
+        assert sizes.tolist() == np.bincount(nearest, minlength=4).tolist()
+        for c in range(4):
+            assert (centres[c] == grid[nearest == c].sum(axis=0) / sizes[c]).all()
+
+
 def test_kmeans_finds_clear_groups(spark):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(c, 0.05, (40, 3)) for c in (0, 2, 5)])
