@@ -1,28 +1,31 @@
 """Review files: one CSV per item, the item named by the path.
 
-Files may differ in column order and in extra columns. Spark binds a given CSV schema by position, so the
-header of each file is looked at first and the files of one header are read together.
+Files may differ in column order and in extra columns. Spark binds a given CSV schema by position, so the first
+line of each file is looked at first; then all files are parsed in one scan, and a file's header says which cell is
+which. Spark's own readers open the files, so any file system of the cluster will do.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from shelfscout.functions.scalars import flag, to_number
 from shelfscout.session import spill
 from shelfscout.sources.schema import ITEM_KEY, REVIEW_SCHEMA
 
 FILE_NAME_KEY = r"([^/]+)\.csv$"
-CHUNK_BYTES = 1 << 16
 # Commas outside of quotes.
 CELL_BREAK = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
+# Opens the chosen files with a prepared reader.
+Source = Callable[[DataFrameReader], DataFrame]
+
 
 @dataclass
 class ReviewScan:
@@ -32,6 +35,28 @@ class ReviewScan:
     quarantine: DataFrame
 
 
+def _spelled(path: Column) -> Column:
+    """One spelling of a path: an empty authority is written out."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/(?!/)", "$1:///")
+
+
+def _opened() -> Column:
+    """Path of the file a row was read from; the scan reports it with escapes, in which a plus sign is plain."""
+    return _spelled(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))))
+
+
+def _below(root: str) -> Source:
+    return lambda reader: reader.options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
+
+
+def _only(files: DataFrame) -> Source:
+    """These files alone; names only, which Spark keeps on the driver for every scan."""
+    paths = sorted(r["path"] for r in files.select("path").toLocalIterator())
+    # A name is no pattern.
+    plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
+    return lambda reader: reader.load(plain)
+
+
 def list_review_files(
     spark: SparkSession, root: str, key_pattern: str = FILE_NAME_KEY, limit_files: int | None = None
 ) -> DataFrame:
@@ -41,43 +66,35 @@ def list_review_files(
     """
     if limit_files is not None and limit_files <= 0:
         raise ValueError("limit_files must be a positive integer")
-    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
+    listing = _below(root)(spark.read.format("binaryFile"))
     names = sorted(unquote(name) for name in listing.inputFiles())[:limit_files]
-    files = spark.createDataFrame([(name,) for name in names], "path string")
+    files = spark.createDataFrame([(name,) for name in names], "path string").select(_spelled(F.col("path")).alias("path"))
     return files.select("path", F.regexp_extract("path", key_pattern, 1).alias(ITEM_KEY))
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        headers = []
-        for path in batch["path"]:
-            try:
-                system, inner = fs.FileSystem.from_uri(quote(path, safe=":/="))
-                with system.open_input_stream(inner) as stream:
-                    line = b""
-                    while b"\n" not in line and (more := stream.read(CHUNK_BYTES)):
-                        line += more
-                    line = line.split(b"\n", 1)[0]
-                headers.append(line.decode("utf-8-sig").strip("\r"))
-            except (OSError, UnicodeDecodeError, ValueError) as problem:
-                headers.append(f"!{problem}")
-        yield batch.assign(header=headers)
-
-
-def probe_headers(files: DataFrame, required: Sequence[str]) -> DataFrame:
+def probe_headers(files: DataFrame, source: Source, required: Sequence[str]) -> DataFrame:
     """Add the header line and, where a file cannot be used, the ``reason``."""
-    spread = files.repartition(F.col("path"))
-    schema = T.StructType([*files.schema.fields, T.StructField("header", T.StringType())])
-    probed = spread.mapInPandas(_first_lines, schema)
+    reader = files.sparkSession.read
+    lines = source(reader.format("text").options(ignoreCorruptFiles=True, ignoreMissingFiles=True)).select(
+        _opened().alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    # A split is read from its start, so the first line of a file has the smallest place of its first split.
+    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    first = first.select("path", F.regexp_replace("header", "^\ufeff|\r+$", "").alias("header"))
+    sizes = source(reader.format("binaryFile")).select(_spelled(F.col("path")).alias("path"), "length")
+    probed = files.join(first, "path", "left").join(sizes, "path", "left")
     names = F.transform(F.split("header", CELL_BREAK), lambda n: F.trim(F.regexp_replace(n, '"', "")))
     absent = F.array_except(F.lit(list(required)), names)
-    return probed.withColumn(
-        "reason",
-        F.when(F.length(F.trim("header")) == 0, F.lit("empty file"))
-        .when(F.col("header").startswith("!"), F.concat(F.lit("unreadable: "), F.expr("substring(header, 2)")))
-        .when(F.size(absent) > 0, F.concat(F.lit("missing columns: "), F.array_join(absent, ", "))),
+    return probed.select(
+        *files.columns,
+        "header",
+        F.when(F.col("header").isNull() & (F.col("length") > 0), F.lit("unreadable"))
+        .when(F.length(F.trim(F.coalesce("header", F.lit("")))) == 0, F.lit("empty file"))
+        .when(F.size(absent) > 0, F.concat(F.lit("missing columns: "), F.array_join(absent, ", ")))
+        .alias("reason"),
     )
 
 
@@ -93,30 +110,25 @@ def scan_reviews(
     """Read the review files below ``root``.
 
     ``items`` (one key column) keeps the files of sampled items, before anything of them is read. Lines with
-    more cells than the header spoil their file, which is then left out whole; finding them takes a pass of its
-    own, which ``whole_files=False`` saves by leaving out the lines only. Set ``multi_line`` when a cell may hold
+    more cells than the header spoil their file, which is then left out whole; for that the parsed rows are written
+    once, which ``whole_files=False`` saves by leaving out the lines only. Set ``multi_line`` when a cell may hold
     a line break; files are then not split.
     """
     files = list_review_files(spark, root, key_pattern, limit_files)
     if items is not None:
         files = files.join(items.select(F.col(items.columns[0]).cast("string").alias(ITEM_KEY)).distinct(), ITEM_KEY, "left_semi")
     required = REVIEW_SCHEMA.fieldNames()
-    probed = spill(probe_headers(files, required), "headers")
-    if probed.isEmpty():
+    files = spill(files, "files")
+    if files.isEmpty():
         raise RuntimeError("no review files selected")
-    usable = probed.where(F.col("reason").isNull())
-
-    # File names only, which Spark keeps on the driver for every scan; different headers are few by nature.
-    paths: dict[str, list[str]] = {}
-    for row in usable.select("header", "path").toLocalIterator():
-        paths.setdefault(row["header"], []).append(row["path"])
-    parts = [_read_group(spark, header, sorted(paths[header]), multi_line) for header in sorted(paths)]
-    if not parts:
-        raise RuntimeError("no review file could be read")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    source = _below(root) if limit_files is None and items is None else _only(files)
+    probed = spill(probe_headers(files, source, required), "headers")
+    if not probed.where("reason = 'unreadable'").isEmpty():
+        source = _only(probed.where("reason IS NULL"))
 
+    rows = _parse(probed, source, multi_line)
+    if whole_files:
+        rows = spill(rows, "parsed")
     torn = rows.where("_torn").select(F.col("_path").alias("path")).distinct()
     torn = torn.withColumn("reason", F.lit("line with too many cells"))
     if whole_files:
@@ -130,22 +142,40 @@ def scan_reviews(
     return ReviewScan(rows, quarantine)
 
 
-def _read_group(spark: SparkSession, header: str, paths: list[str], multi_line: bool) -> DataFrame:
-    names = [n.strip() for n in next(csv.reader([header]))]
-    fields = [f"c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_spare"]])
-    raw = (
-        spark.read.schema(schema)
+def _parse(probed: DataFrame, source: Source, multi_line: bool) -> DataFrame:
+    """Rows of all usable files, with ``_torn`` for a line of too many cells and ``_path``."""
+    usable = probed.where("reason IS NULL")
+    # Different headers are few by nature. The most frequent one is taken where the table of the others has no word on a file.
+    headers = [r["header"] for r in usable.groupBy("header").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "header").collect()]
+    if not headers:
+        raise RuntimeError("no review file could be read")
+    layouts = [[n.strip() for n in next(csv.reader([h]))] for h in headers]
+    width = max(map(len, layouts))
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width + 1)])
+    raw = source(
+        probed.sparkSession.read.format("csv").schema(schema)
         .options(header=True, quote='"', escape='"', mode="PERMISSIVE", multiLine=multi_line, enforceSchema=True)
-        .csv(paths)
-    )
-    cell = {name: F.col(field) for name, field in zip(names, fields)}
+    )
+    used = sorted({names.index(n) for names in layouts for n in REVIEW_SCHEMA.fieldNames()} | set(map(len, layouts)))
+    raw = raw.select(*[f"c{i}" for i in used], _opened().alias("_path"))
+    layout = F.array_position(F.lit(headers), F.col("header")).cast("int") - 1
+    others = probed.select(F.col("path").alias("_path"), F.when(F.col("reason").isNull(), layout).otherwise(-1).alias("_layout"))
+    others = spill(others.where("_layout <> 0"), "layouts")
+    if others.isEmpty():
+        raw = raw.withColumn("_layout", F.lit(0))
+    else:
+        raw = raw.join(others, "_path", "left").withColumn("_layout", F.coalesce("_layout", F.lit(0))).where("_layout >= 0")
+
+    def cell(place: Callable[[list[str]], int]) -> Column:
+        return F.coalesce(*[F.when(F.col("_layout") == i, F.col(f"c{place(names)}")) for i, names in enumerate(layouts)])
+
+    named = {n: cell(lambda names, n=n: names.index(n)) for n in REVIEW_SCHEMA.fieldNames()}
     return raw.select(
         # By way of a double only where the id is not written as a whole number: large ids would change.
-        F.coalesce(F.trim(cell["recommendationid"]).try_cast("long"), to_number(cell["recommendationid"]).cast("long")).alias("recommendationid"),
-        F.trim(cell["author_steamid"]).alias("author_steamid"),
-        flag(cell["voted_up"]).cast("boolean").alias("voted_up"),
-        to_number(cell["author_playtime_forever"]).alias("author_playtime_forever"),
-        F.col("_spare").isNotNull().alias("_torn"),
-        F.col("_metadata.file_path").alias("_path"),
+        F.coalesce(F.trim(named["recommendationid"]).try_cast("long"), to_number(named["recommendationid"]).cast("long")).alias("recommendationid"),
+        F.trim(named["author_steamid"]).alias("author_steamid"),
+        flag(named["voted_up"]).cast("boolean").alias("voted_up"),
+        to_number(named["author_playtime_forever"]).alias("author_playtime_forever"),
+        cell(len).isNotNull().alias("_torn"),
+        "_path",
     )

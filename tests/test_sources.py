@@ -150,3 +150,51 @@ def test_histogram_of_nothing(spark):
     from shelfscout.operators.numeric import capped_histogram
 
     assert capped_histogram(spark.createDataFrame([(None,)], "playtime double"), "playtime").count() == 0
+
+
+def test_odd_names_and_long_headers(spark, tmp_path):
+    wide = ",".join([HEADER, *(f"extra_{i:05d}" for i in range(9000))])
+    assert len(wide) > 1 << 16
+    for i, (name, header) in enumerate([("g[1]", HEADER), ("a b", HEADER), ("50%", HEADER), ("w{x}", wide), ("c+d", HEADER), ("q", f'"note, more",{HEADER}')]):
+        start = '"k, l",' if name == "q" else ""
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n{start}{i},u{i},True,7\n")
+    scan = reviews.scan_reviews(spark, str(tmp_path))
+    assert {r["AppID"]: (r["recommendationid"], r["author_steamid"], r["author_playtime_forever"]) for r in scan.rows.collect()} == {
+        n: (i, f"u{i}", 7.0) for i, n in enumerate(["g[1]", "a b", "50%", "w{x}", "c+d", "q"])
+    }
+    assert scan.quarantine.isEmpty()
+    names = spark.createDataFrame([("g[1]",), ("a b",), ("50%",), ("w{x}",), ("c+d",)], "AppID string")
+    assert reviews.scan_reviews(spark, str(tmp_path), items=names).rows.count() == 5
+
+
+def test_paths_have_one_spelling(spark, raw):
+    scan = reviews.scan_reviews(spark, str(raw[0]))
+    assert {r["path"].split(str(raw[0]))[0] for r in scan.quarantine.collect()} == {"file://"}
+
+
+def test_unreadable_file_is_named(spark, raw, monkeypatch):
+    """A file that gives no line although it has bytes is left out, and the rest is read."""
+    kept = reviews._below
+
+    def broken(root):
+        source = kept(root)
+
+        def load(reader):
+            found = source(reader)
+            return found.where("_metadata.file_name <> '10.csv'") if "value" in found.columns else found
+
+        return load
+
+    monkeypatch.setattr(reviews, "_below", broken)
+    scan = reviews.scan_reviews(spark, str(raw[0]))
+    assert {r["path"].rsplit("/", 1)[1]: r["reason"] for r in scan.quarantine.collect()}["10.csv"] == "unreadable"
+    assert {r["recommendationid"] for r in scan.rows.collect()} == {3, 6}
+
+
+def test_any_hadoop_file_system_is_read(spark, raw):
+    """A scheme that only Hadoop's configuration knows, as for object stores."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.lake.link./raw", f"file://{raw[0]}")
+    scan = reviews.scan_reviews(spark, "viewfs://lake/raw")
+    assert {r["recommendationid"] for r in scan.rows.collect()} == {1, 2, 3, 6}
+    assert {r["path"] for r in scan.quarantine.collect()} == {f"viewfs://lake/raw/{n}.csv" for n in (30, 40, 50)}
