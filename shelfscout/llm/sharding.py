@@ -2,8 +2,8 @@
 
 The first pass scatters the records by seeded hashes: the shard is the one with the highest hash of (id, shard), so
 the id and the number of shards decide and one more shard only takes rows into itself; within a shard a second hash
-of id and text picks one of enough buckets for each to fit into memory. The second pass permutes each bucket with
-Spark's Fisher-Yates ``shuffle`` and writes it. What is returned is read from the written files, so the order is
+of id and text picks one of enough buckets for each to fit into memory; a bucket that repeated rows make too large is
+dealt out in parts. The second pass permutes each bucket (each part) with Spark's Fisher-Yates ``shuffle`` and writes it. What is returned is read from the written files, so the order is
 fixed once and for all, whatever happens to an executor later.
 
 Defined results: NULL ids fall into one shard by the same law, a NULL text counts 8 bytes; repeated rows take slots of
@@ -35,6 +35,38 @@ def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
     return F.array_max(ranked).getField("s").cast("int")
 
 
+def scatter(
+    df: DataFrame, shards: int, seed: int, bucket_bytes: int, key: str, text: str
+) -> tuple[DataFrame, DataFrame, int]:
+    """First pass: ``(bucket, part, order, row)``, the rows per ``(bucket, part)``, and the buckets of a shard.
+
+    Rows of one id and text share a bucket, however many they are. A bucket that comes out too large for it is
+    dealt out in parts by position and written, which fixes who is where; the others have part 0.
+    """
+    volume = df.select(F.sum(record_size(named(text))).alias("n")).first()["n"] or 0
+    per_shard = max(1, math.ceil(volume / shards / bucket_bytes))
+    spread = F.pmod(F.xxhash64(F.lit(seed + 1), named(key), named(text)), F.lit(per_shard)).cast("int")
+    bucket = (shard_of(named(key), shards, seed) * per_shard + spread).cast("int")
+    found = spill(
+        df.select(bucket.alias("bucket"), record_size(named(text)).alias("size"))
+        .groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")),
+        "buckets",
+    )
+    order = F.xxhash64(F.lit(seed + 2), named(key), named(text))
+    rows = df.select(bucket.alias("bucket"), F.lit(0).alias("part"), order.alias("order"), packed(df, ADDED).alias("row"))
+    sizes = found.select("bucket", F.lit(0).alias("part"), "n")
+    large = spill(
+        found.where((F.col("n") > 1) & (F.col("bytes") > 2 * bucket_bytes)).select("bucket", F.ceil(F.col("bytes") / bucket_bytes).alias("parts")),
+        "large",
+    )
+    if not large.isEmpty():
+        part = F.pmod(F.xxhash64(F.lit(seed + 3), F.monotonically_increasing_id()), F.col("parts")).cast("int")
+        dealt = spill(rows.join(large, "bucket").select("bucket", part.alias("part"), "order", "row"), "dealt")
+        rows = rows.join(large, "bucket", "left_anti").unionAll(dealt)
+        sizes = sizes.join(large, "bucket", "left_anti").unionAll(dealt.groupBy("bucket", "part").agg(F.count("*").alias("n")))
+    return rows, sizes, per_shard
+
+
 def shuffle_into_shards(
     df: DataFrame,
     shards: int = SHARDS,
@@ -49,27 +81,17 @@ def shuffle_into_shards(
     ``slot`` counts from 0 in each shard without a gap. ``bucket_bytes`` bounds what one task shuffles at a time.
     """
     spark = df.sparkSession
-    volume = df.select(F.sum(record_size(named(text))).alias("n")).first()["n"] or 0
-    per_shard = max(1, math.ceil(volume / shards / bucket_bytes))
-    spread = F.pmod(F.xxhash64(F.lit(seed + 1), named(key), named(text)), F.lit(per_shard)).cast("int")
-    bucket = (shard_of(named(key), shards, seed) * per_shard + spread).cast("int")
-
-    sizes = spill(df.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")), "buckets")
-    # One row per bucket: the volume over ``bucket_bytes`` in all.
+    rows, sizes, per_shard = scatter(df, shards, seed, bucket_bytes, key, text)
+    # One row per bucket and part: the volume over ``bucket_bytes`` in all.
     before = F.sum("n").over(
-        Window.partitionBy(F.floor(F.col("bucket") / per_shard)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(F.floor(F.col("bucket") / per_shard)).orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = spill(sizes.select("bucket", F.coalesce(before, F.lit(0)).cast("long").alias("start")), "starts")
+    starts = spill(sizes.select("bucket", "part", F.coalesce(before, F.lit(0)).cast("long").alias("start")), "starts")
 
-    order = F.xxhash64(F.lit(seed + 2), named(key), named(text))
-    scattered = (
-        df.select(bucket.alias("bucket"), order.alias("order"), packed(df, ADDED).alias("row"))
-        .repartition(shards * per_shard, "bucket")
-        .sortWithinPartitions("bucket", "order")
-    )
+    scattered = rows.repartition(shards * per_shard, "bucket", "part").sortWithinPartitions("bucket", "part", "order")
     shuffled = (
-        scattered.groupBy("bucket").agg(F.collect_list("row").alias("rows"))
-        .join(starts, "bucket")
+        scattered.groupBy("bucket", "part").agg(F.collect_list("row").alias("rows"))
+        .join(starts, ["bucket", "part"])
         .select("bucket", "start", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
     )
     target = path or scratch_path(spark, "shards")
