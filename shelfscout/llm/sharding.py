@@ -22,6 +22,8 @@ from shelfscout.session import scratch_path, spill
 SHARDS = 24
 SEED = 42
 BUCKET_BYTES = 16 << 20
+# Low bits of a cell number: the part of the bucket.
+PART_BITS = 32
 ADDED = ("shard", "bucket", "slot")
 
 
@@ -38,10 +40,10 @@ def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
 def scatter(
     df: DataFrame, shards: int, seed: int, bucket_bytes: int, key: str, text: str
 ) -> tuple[DataFrame, DataFrame, int]:
-    """First pass: ``(bucket, part, order, row)``, the rows per ``(bucket, part)``, and the buckets of a shard.
+    """First pass: ``(cell, order, row)``, the rows per ``cell``, and the buckets of a shard. A cell is a bucket or a part of one.
 
     Rows of one id and text share a bucket, however many they are. A bucket that comes out too large for it is
-    dealt out in parts by position and written, which fixes who is where; the others have part 0.
+    dealt out in parts by position and written, which fixes who is where; the others are one cell each.
     """
     volume = df.select(F.sum(record_size(named(text))).alias("n")).first()["n"] or 0
     per_shard = max(1, math.ceil(volume / shards / bucket_bytes))
@@ -53,18 +55,20 @@ def scatter(
         "buckets",
     )
     order = F.xxhash64(F.lit(seed + 2), named(key), named(text))
-    rows = df.select(bucket.alias("bucket"), F.lit(0).alias("part"), order.alias("order"), packed(df, ADDED).alias("row"))
-    sizes = found.select("bucket", F.lit(0).alias("part"), "n")
+    # One column for both, so that grouping and join below go by the same hash and the rows move once.
+    whole = F.shiftleft(F.col("bucket").cast("long"), PART_BITS).alias("cell")
+    rows = df.select(bucket.alias("bucket"), order.alias("order"), packed(df, ADDED).alias("row"))
     large = spill(
         found.where((F.col("n") > 1) & (F.col("bytes") > 2 * bucket_bytes)).select("bucket", F.ceil(F.col("bytes") / bucket_bytes).alias("parts")),
         "large",
     )
+    plain, sizes = rows.select(whole, "order", "row"), found.select(whole, "n")
     if not large.isEmpty():
-        part = F.pmod(F.xxhash64(F.lit(seed + 3), F.monotonically_increasing_id()), F.col("parts")).cast("int")
-        dealt = spill(rows.join(large, "bucket").select("bucket", part.alias("part"), "order", "row"), "dealt")
-        rows = rows.join(large, "bucket", "left_anti").unionAll(dealt)
-        sizes = sizes.join(large, "bucket", "left_anti").unionAll(dealt.groupBy("bucket", "part").agg(F.count("*").alias("n")))
-    return rows, sizes, per_shard
+        part = F.pmod(F.xxhash64(F.lit(seed + 3), F.monotonically_increasing_id()), F.col("parts"))
+        dealt = spill(rows.join(large, "bucket").select((whole + part).alias("cell"), "order", "row"), "dealt")
+        plain = rows.join(large, "bucket", "left_anti").select(whole, "order", "row").unionAll(dealt)
+        sizes = found.join(large, "bucket", "left_anti").select(whole, "n").unionAll(dealt.groupBy("cell").agg(F.count("*").alias("n")))
+    return plain, sizes, per_shard
 
 
 def shuffle_into_shards(
@@ -82,17 +86,18 @@ def shuffle_into_shards(
     """
     spark = df.sparkSession
     rows, sizes, per_shard = scatter(df, shards, seed, bucket_bytes, key, text)
-    # One row per bucket and part: the volume over ``bucket_bytes`` in all.
+    bucket = F.shiftright("cell", PART_BITS).cast("int")
+    # One row per cell: the volume over ``bucket_bytes`` in all.
     before = F.sum("n").over(
-        Window.partitionBy(F.floor(F.col("bucket") / per_shard)).orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(F.floor(bucket / per_shard)).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = spill(sizes.select("bucket", "part", F.coalesce(before, F.lit(0)).cast("long").alias("start")), "starts")
+    starts = spill(sizes.select("cell", F.coalesce(before, F.lit(0)).cast("long").alias("start")), "starts")
 
-    scattered = rows.repartition(shards * per_shard, "bucket", "part").sortWithinPartitions("bucket", "part", "order")
+    scattered = rows.repartition(shards * per_shard, "cell").sortWithinPartitions("cell", "order")
     shuffled = (
-        scattered.groupBy("bucket", "part").agg(F.collect_list("row").alias("rows"))
-        .join(starts, ["bucket", "part"])
-        .select("bucket", "start", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
+        scattered.groupBy("cell").agg(F.collect_list("row").alias("rows"))
+        .join(starts, "cell")
+        .select(bucket.alias("bucket"), "start", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
     )
     target = path or scratch_path(spark, "shards")
     placed = shuffled.select(

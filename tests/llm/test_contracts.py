@@ -44,7 +44,7 @@ def test_repeats_of_one_row_are_dealt_out(spark, make):
     hot = spark.range(3000).selectExpr("5L AS doc_id", "'the very same text' AS text")
     rows = hot.unionAll(spark.range(6000).selectExpr("id AS doc_id", "concat('text ', id) AS text"))
     parts, sizes, _ = sharding.scatter(rows, 4, 42, 2000, "doc_id", "text")
-    assert max(r["count"] for r in parts.groupBy("bucket", "part").count().collect()) < 300
+    assert max(r["count"] for r in parts.groupBy("cell").count().collect()) < 300
     assert sizes.agg({"n": "sum"}).first()[0] == 9000
     got = sharding.shuffle_into_shards(rows, shards=4, bucket_bytes=2000).collect()
     assert sorted(r.doc_id for r in got) == sorted([5] * 3000 + list(range(6000)))
