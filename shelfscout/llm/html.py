@@ -35,7 +35,7 @@ BLOCKS = frozenset(
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object select button audio video head".split())
+RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object select button audio video".split())
 NEVER = frozenset("nav footer aside form menu dialog fieldset address".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 # Words in class, id or role that tell what a block is.
@@ -104,6 +104,9 @@ def blocks_of(page: str | None) -> list[Block]:
                 words.append(found.group()[9:-3])
             continue
         name = name.lower()
+        if name == "head":
+            # All that can stand in a head is raw or void; anything else ends it, closed or not.
+            continue
         if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name in BLOCKS:
