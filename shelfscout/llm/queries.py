@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfscout.llm import attention, decontaminate, html, mixing, pii, quality, sharding, simhash, topk, urls
+from shelfscout.llm import alignment, attention, decontaminate, html, mixing, pii, quality, sharding, simhash, topk, toxicity, trie, urls
 from shelfscout.llm.common import named, table
 from shelfscout.session import configure
 
@@ -151,3 +151,61 @@ WHERE rank <= 20""",
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best inner products of every twentieth vector."""
     return topk.top_products(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.judge_toxicity(docs, table(spark, folder, "labels"))
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document."""
+    return alignment.alignment_counts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query(
+    "op13_prefix_trie",
+    """
+WITH own AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+    md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT conv_id, text, digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS at FROM own),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+    xor(4294967295::BIGINT, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, b: list_reduce(
+        list_prepend(xor(crc, b), range(8)),
+        lambda a, i: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM placed)),
+rebuilt AS (
+  SELECT c.conv_id, p.at AS place, p.text, p.digest FROM convs c JOIN placed p ON p.conv_id = c.base AND p.at < c.h
+  UNION ALL
+  SELECT c.conv_id, p.at + 4, p.text, p.digest FROM convs c JOIN placed p ON p.conv_id = c.conv_id AND p.at >= c.h),
+paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS key,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+nodes AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM paths GROUP BY depth, key),
+above AS (SELECT *, left(key, 32 * greatest(depth - 1, 0)) AS parent_key FROM nodes),
+children AS (SELECT parent_key AS key, count(*) AS n_children FROM above WHERE depth > 0 GROUP BY parent_key),
+subtrees AS (
+  SELECT p.key, sum((m.n_convs - 1) * m.words)::BIGINT AS saved_tokens, (count(*) - count(c.key))::BIGINT AS n_leaves
+  FROM nodes m LEFT JOIN children c ON c.key = m.key JOIN paths p ON p.conv_id = m.conv_id AND p.depth <= m.depth
+  GROUP BY p.key),
+ends AS (
+  SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(key, depth) AS key FROM paths GROUP BY conv_id) GROUP BY key)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens,
+  sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM above a JOIN subtrees s ON s.key = a.key LEFT JOIN nodes p ON a.depth > 0 AND p.key = a.parent_key
+LEFT JOIN children c ON c.key = a.key LEFT JOIN ends e ON e.key = a.key""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Prefix trie of the rebuilt conversations."""
+    return trie.conversation_trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
