@@ -6,20 +6,21 @@ character belongs to several tokens of A, or B falls back to bytes, the spans of
 from the decoded bytes, counted from the last coarse cut. Byte offsets where tokens of both end cut a text into groups. A link is a pair of
 token occurrences whose byte ranges overlap, and the count of an id pair is the number of documents that hold it linked.
 
-Texts are taken in chunks of ``CHUNK_BYTES``. A chunk keeps, per document, its distinct linked pairs as numbers into one list of the pairs of the
-whole chunk. Counts are sums over those lists, one row per chunk and pair, and return to the chunk in one join, so no row per link is shuffled and
-a pair that all documents share has one row per chunk.
+Texts are cut into segments at every single space between two characters that are not white space: no token of A or B reaches across it, so both end
+there. Texts are taken in chunks of ``CHUNK_BYTES``, and a chunk encodes, aligns and links each distinct segment once. It keeps the segments of its
+documents and the pairs of its segments as numbers into one list of its pairs. Counts are sums over those lists, one row per chunk and pair, and
+return to the chunk in one join, so no row per link is shuffled and a pair that all documents share has one row per chunk.
 
 Defined results: a NULL or empty text, or one that either tokenizer does not spell back byte for byte, has no tokens: zeros and an empty digest, and
 it counts for no pair; strings of special tokens are plain text; rows are counted as they come, so a repeated row is one more document; a text of
-any length is taken whole, in slices cut at single spaces between two word characters, where no token of A or B can reach across; an empty table gives an
-empty one. Columns named like an added one are replaced.
+any length is taken whole; an empty table gives an empty one. Columns named like an added one are replaced.
 
 ``aligned`` gives the groups themselves, ``alignment_counts`` the figures and the digest.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -35,17 +36,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from shelfscout.llm.common import named, others, packed, shared, unpacked
 from shelfscout.session import configure, spill
 
-# Text bytes that are aligned at once, and the length beyond which a text is cut into slices.
-CHUNK_BYTES = 2 << 20
-SLICE_CHARS = 1 << 16
+# Text that is aligned at once, in characters.
+CHUNK_BYTES = 4 << 20
+# Bytes of segments that are encoded in one call.
+BLOCK_BYTES = 1 << 14
 # Where the vocabulary files are looked for unless the caller names them; they are read on the driver and sent to the tasks.
 VOCABULARY_FOLDER = "/opt/tokenizers"
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 ADDED = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
-_SEAM = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
-_LOW = (1 << 32) - 1
+_SEAM = re.compile(r"(?<=\S) (?=\S)")
 
 
 def read_vocabularies(folder: str = VOCABULARY_FOLDER, byte_file: str = BYTE_FILE, piece_file: str = PIECE_FILE) -> tuple[bytes, bytes]:
@@ -69,10 +70,11 @@ def byte_characters() -> dict[str, int]:
 
 @dataclass
 class Tokens:
-    """Ids and byte ends of a batch of texts laid end to end, and where each text ends in both."""
+    """Ids and byte ends of some texts laid end to end, and the number of tokens of each."""
 
     ids: np.ndarray
     ends: np.ndarray
+    counts: np.ndarray
 
 
 class Pair:
@@ -106,41 +108,74 @@ class Pair:
         self.a_word = [np.array([f"{i}{end}" for i in range(len(self.a_bytes))], object) for end in ",|"]
         self.b_word = [np.array([f"{i}{end}" for i in range(len(pieces))], object) for end in ",;"]
 
-    def slices(self, text: str) -> list[str]:
-        """The text in parts that both tokenizers take alone as they would within the whole; the space at a seam is the next part's."""
-        if len(text) <= SLICE_CHARS or not self.cuttable:
-            return [text]
-        parts, start = [], 0
-        while len(text) - start > SLICE_CHARS:
-            seam = _SEAM.search(text, start + SLICE_CHARS)
-            if seam is None:
-                break
-            parts.append(text[start : seam.start()])
-            start = seam.end()
-        return [*parts, text[start:]]
-
-    def tokens(self, parts: Sequence[str]) -> list[tuple[Tokens, Tokens] | None]:
-        """Tokens of each part with a space before it, None where one of the two does not spell it back."""
+    def segments(self, text: str) -> list[str]:
+        """Parts that both tokenizers take alone as they would within the whole; the space at a seam is the next part's."""
+        return _SEAM.split(text) if self.cuttable else [text]
+
+    def tokens(self, parts: Sequence[str]) -> tuple[Tokens, Tokens, np.ndarray]:
+        """Tokens of all parts, each with a space before it, laid end to end, and which parts both tokenizers spell back.
+
+        The tokens of the other parts are left out.
+        """
         encoded = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        protos = self.b.encode(list(parts), return_type="proto", num_threads=1)
-        return [self._both(p, a, b) for p, a, b in zip(parts, encoded, protos)]
-
-    def _both(self, part: str, encoded, proto) -> tuple[Tokens, Tokens] | None:
-        spelt = (" " + part).encode()
-        a = np.array(encoded.ids, np.int64)
-        pieces = list(proto.pieces)
-        b = np.fromiter((p.id for p in pieces), np.int64, len(pieces))
-        if b"".join(self.a_bytes[a].tolist()) != spelt or b"".join(self.b_bytes[b].tolist()) != spelt:
-            return None
-        spans = np.fromiter(chain.from_iterable(encoded.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
-        if len(spelt) != len(part) + 1:
-            spans = _byte_places(" " + part)[spans]
+        protos = [list(x.pieces) for x in self.b.encode(list(parts), return_type="proto", num_threads=1)]
+        a = _flat((x.ids for x in encoded))
+        b = _flat([p.id for p in x] for x in protos)
+        counts = [np.fromiter(map(len, x), np.int64, len(parts)) for x in (encoded, protos)]
+        spelt = [(" " + p).encode() for p in parts]
+        sizes = np.fromiter(map(len, spelt), np.int64, len(parts))
+        good = self._spelt_back(self.a_bytes, a, counts[0], spelt) & self._spelt_back(self.b_bytes, b, counts[1], spelt)
+        if not good.all():
+            kept = np.flatnonzero(good).tolist()
+            encoded, protos, parts = ([x[i] for i in kept] for x in (encoded, protos, parts))
+            a, b = a[np.repeat(good, counts[0])], b[np.repeat(good, counts[1])]
+            counts, sizes = [c[good] for c in counts], sizes[good]
+        begins = np.cumsum(sizes) - sizes
+        # Character offsets of A as bytes.
+        chars = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
+        spans = _flat(chain.from_iterable(x.offsets) for x in encoded).reshape(-1, 2)
+        spans = _byte_places(" ".join(["", *parts]))[spans + np.repeat(np.cumsum(chars) - chars, counts[0])[:, None]]
         # A cut is sure unless the next token starts before it: then both hold bytes of one character.
-        sure = np.append(spans[1:, 0] >= spans[:-1, 1], True)
+        sure = np.append(spans[1:, 0] >= spans[:-1, 1], True)[: len(a)]
         ends_a = _refined(spans[:, 1], sure, self.a_size[a])
         # B's spans leave out the space put before the text; the span of a fallback byte is empty up to the last byte of a character.
-        coarse = np.fromiter((p.end for p in pieces), np.int64, len(pieces)) + 1
-        return Tokens(a, ends_a), Tokens(b, _refined(coarse, ~self.b_byte[b], self.b_size[b]))
+        coarse = _flat([p.end for p in x] for x in protos) + 1 + np.repeat(begins, counts[1])
+        return Tokens(a, ends_a, counts[0]), Tokens(b, _refined(coarse, ~self.b_byte[b], self.b_size[b]), counts[1]), good
+
+    def segment_tokens(self, parts: Sequence[str]) -> tuple[Tokens, Tokens, np.ndarray]:
+        """As ``tokens`` for distinct segments; the place of each among those that are spelt back, -1 for the others.
+
+        Segments are joined to blocks again, as a call for each would cost more than its work. A block that is not spelt back is taken apart.
+        """
+        sizes = np.fromiter((len(p.encode()) + 1 for p in parts), np.int64, len(parts))
+        block = np.cumsum(sizes) // BLOCK_BYTES if self.cuttable else np.arange(len(parts))
+        firsts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+        a, b, good = self.tokens([" ".join(parts[s:e]) for s, e in zip(firsts, [*firsts[1:], len(parts)])])
+        whole = np.repeat(good, np.diff([*firsts, len(parts)])) if firsts else np.zeros(0, bool)
+        alone = np.flatnonzero(~whole)
+        more_a, more_b, fine = self.tokens([parts[i] for i in alone.tolist()])
+        order = np.concatenate([np.flatnonzero(whole), alone[fine]])
+        place = np.full(len(parts), -1, np.int64)
+        place[order] = np.arange(len(order))
+        bounds = np.cumsum(sizes[order])
+        before = a.ends[-1] if len(a.ends) else 0
+        laid = []
+        for t, more in ((a, more_a), (b, more_b)):
+            ends = np.concatenate([t.ends, more.ends + before])
+            counts = np.diff(np.searchsorted(ends, bounds, "right"), prepend=0)
+            laid.append(Tokens(np.concatenate([t.ids, more.ids]), ends, counts))
+        return laid[0], laid[1], place
+
+    @staticmethod
+    def _spelt_back(table: np.ndarray, ids: np.ndarray, counts: np.ndarray, spelt: Sequence[bytes]) -> np.ndarray:
+        """Which parts are the joined bytes of their tokens."""
+        decoded = table[ids].tolist()
+        ends = np.cumsum(counts).tolist()
+        return np.fromiter((b"".join(decoded[s:e]) == x for s, e, x in zip([0, *ends], ends, spelt)), bool, len(spelt))
+
+
+def _flat(lists) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64)
 
 
 def _byte_places(text: str) -> np.ndarray:
@@ -160,26 +195,13 @@ def _refined(coarse: np.ndarray, sure: np.ndarray, sizes: np.ndarray) -> np.ndar
     return np.where(sure, coarse, told + base)
 
 
-def joined(parts: Sequence[tuple[Tokens, Tokens] | None]) -> tuple[Tokens, Tokens] | None:
-    """The slices of one text put together again."""
-    if any(p is None for p in parts):
-        return None
-    if len(parts) == 1:
-        return parts[0]
-    before = np.concatenate([[0], np.cumsum([p[0].ends[-1] for p in parts])[:-1]])
-    return tuple(  # type: ignore[return-value]
-        Tokens(np.concatenate([p[k].ids for p in parts]), np.concatenate([p[k].ends + at for p, at in zip(parts, before)]))
-        for k in (0, 1)
-    )
-
-
 def links(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the linked tokens of A and of B, and the common cuts.
 
     Between two neighbouring ends, of either kind, lies a run of bytes that one token of each covers, and the ranges of two tokens meet in one
     such run at most, so the runs are the links.
     """
-    mark = np.zeros(int(a.ends[-1]) + 1, np.int8)
+    mark = np.zeros(int(a.ends[-1]) + 1 if len(a.ends) else 1, np.int8)
     mark[a.ends] = 1
     mark[b.ends] += 2
     places = np.flatnonzero(mark)
@@ -188,8 +210,8 @@ def links(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(of_a) - of_a, np.cumsum(of_b) - of_b, places[kinds == 3]
 
 
-def spelled_groups(pair: Pair, a: Tokens, b: Tokens, cuts: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
+def spelled_words(pair: Pair, a: Tokens, b: Tokens, cuts: np.ndarray) -> np.ndarray:
+    """The ids of all tokens as text, each with the sign behind it, in the order ``a1,a2|b1;a3|b2,b3;``."""
     last_a, last_b = np.searchsorted(a.ends, cuts), np.searchsorted(b.ends, cuts)
     words_a, words_b = pair.a_word[0][a.ids], pair.b_word[0][b.ids]
     words_a[last_a] = pair.a_word[1][a.ids[last_a]]
@@ -199,7 +221,37 @@ def spelled_groups(pair: Pair, a: Tokens, b: Tokens, cuts: np.ndarray) -> str:
     group_b = np.searchsorted(cuts, b.ends)
     out[np.arange(len(words_a)) + np.concatenate([[0], last_b + 1])[group_a]] = words_a
     out[np.arange(len(words_b)) + (last_a + 1)[group_b]] = words_b
-    return "".join(out.tolist())[:-1]
+    return out
+
+
+@dataclass
+class Aligned:
+    """The distinct segments of some texts laid end to end, and the segments of each text (None: it has no tokens)."""
+
+    texts: list[np.ndarray | None]
+    a: Tokens
+    b: Tokens
+    of_a: np.ndarray
+    of_b: np.ndarray
+    cuts: np.ndarray
+    # Where each segment begins: in bytes, tokens of A, tokens of B, links and groups.
+    begins: dict[str, np.ndarray]
+
+    def sizes(self, what: str) -> np.ndarray:
+        return np.diff(self.begins[what])
+
+
+def align(pair: Pair, texts: Sequence[str]) -> Aligned:
+    known: dict[str, int] = {}
+    listed = [np.array([known.setdefault(p, len(known)) for p in pair.segments(t)], np.int64) if t else None for t in texts]
+    a, b, place = pair.segment_tokens(list(known))
+    listed = [None if x is None or place[x].min() < 0 else place[x] for x in listed]
+    starts = {name: np.concatenate([[0], np.cumsum(t.counts)]) for name, t in (("a", a), ("b", b))}
+    starts["bytes"] = np.concatenate([[0], a.ends[starts["a"][1:] - 1]])
+    of_a, of_b, cuts = links(a, b)
+    starts["groups"] = np.searchsorted(cuts, starts["bytes"], "right") if len(cuts) else np.zeros(1, np.int64)
+    starts["links"] = np.searchsorted(of_a, starts["a"])
+    return Aligned(listed, a, b, of_a, of_b, cuts, starts)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -214,16 +266,6 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
                 start, held = i + 1, 0
 
 
-def _tokenised(pair: Pair, texts: Sequence[str]) -> list[tuple[Tokens, Tokens] | None]:
-    parts = [pair.slices(t) if t else [] for t in texts]
-    flat = pair.tokens([p for ps in parts for p in ps])
-    out, at = [], 0
-    for ps in parts:
-        out.append(joined(flat[at : at + len(ps)]) if ps else None)
-        at += len(ps)
-    return out
-
-
 def _rows(docs: DataFrame, text: str, added: Sequence[str]) -> DataFrame:
     carried = packed(docs, added) if others(docs, added) else F.struct(F.lit(None).cast("int").alias("_"))
     return docs.select(carried.alias("row"), named(text).cast("string").alias("text"))
@@ -241,15 +283,18 @@ def aligned(docs: DataFrame, text: str = "text", vocabularies: tuple[bytes, byte
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _chunks(batches):
             found = []
-            for both in _tokenised(pair(), texts):
-                if both is None:
-                    found.append([])
-                    continue
-                a, b = both
-                cuts = links(a, b)[2]
-                at_a, at_b = np.searchsorted(a.ends, cuts) + 1, np.searchsorted(b.ends, cuts) + 1
-                parts = zip(cuts.tolist(), np.split(a.ids, at_a), np.split(b.ids, at_b))
-                found.append([{"end": e, "a_ids": x.tolist(), "b_ids": y.tolist()} for e, x, y in parts])
+            whole = align(pair(), texts)
+            at_a, at_b = (np.searchsorted(t.ends, whole.cuts) + 1 for t in (whole.a, whole.b))
+            groups = list(zip(np.split(whole.a.ids, at_a), np.split(whole.b.ids, at_b)))
+            sizes, bounds, begins = whole.sizes("bytes"), whole.begins["groups"], whole.begins["bytes"]
+            for segments in whole.texts:
+                parts, before = [], 0
+                for k in [] if segments is None else segments.tolist():
+                    for g in range(bounds[k], bounds[k + 1]):
+                        a_ids, b_ids = groups[g]
+                        parts.append({"end": int(before + whole.cuts[g] - begins[k]), "a_ids": a_ids.tolist(), "b_ids": b_ids.tolist()})
+                    before += sizes[k]
+                found.append(parts)
             item = pa.struct([("end", pa.int64()), ("a_ids", pa.list_(pa.int64())), ("b_ids", pa.list_(pa.int64()))])
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.list_(item))], ["row", "groups"])
 
@@ -279,15 +324,20 @@ def alignment_counts(docs: DataFrame, text: str = "text", vocabularies: tuple[by
     best = counts.groupBy(F.shiftright("codes", 32).alias("a")).agg(F.max("n").alias("most"))
     judged = counts.join(F.broadcast(best), F.shiftright("codes", 32) == F.col("a")).select("codes", "n", (F.col("n") == F.col("most")).alias("best"))
     told = listed.join(judged, "codes").select(F.col("chunk").alias("of_chunk"), "place", "n", "best")
-    rows = held.where("codes IS NULL").drop("codes", "docs")
-    kept = [f for f in rows.schema if f.name not in ("chunk", "places", "times")]
+    rows = held.drop("codes", "docs")
+    kept = [f for f in rows.schema if f.name not in ("chunk", *_LISTS)]
     kind = T.StructType([*kept, T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
     done = rows.groupBy("chunk").cogroup(told.groupBy("of_chunk")).applyInArrow(_summed, kind)
     return done.select(*unpacked("row", docs, ADDED), *[F.col(c) for c in ADDED])
 
 
+# What a document's row holds (segments, times) and what the row of its chunk holds for all of its segments (places, bounds).
+_LISTS = ("segments", "times", "places", "bounds")
+
+
 def _held_links(docs: DataFrame, text: str, pair) -> DataFrame:
-    """A row per document with its distinct pairs and how often it links each, and a row per chunk that lists them with their documents."""
+    """A row per document with its distinct segments and how often it has each, and a row per chunk that lists the pairs of its segments, and all
+    pairs with the number of documents that hold them."""
     rows = _rows(docs, text, ADDED)
     integers = T.ArrayType(T.IntegerType())
     kind = T.StructType(
@@ -296,8 +346,7 @@ def _held_links(docs: DataFrame, text: str, pair) -> DataFrame:
             T.StructField("row", rows.schema["row"].dataType),
             *[T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")],
             T.StructField("groups_sha256", T.StringType()),
-            T.StructField("places", integers),
-            T.StructField("times", integers),
+            *[T.StructField(c, integers) for c in _LISTS],
             T.StructField("codes", T.ArrayType(T.LongType())),
             T.StructField("docs", integers),
         ]
@@ -307,65 +356,85 @@ def _held_links(docs: DataFrame, text: str, pair) -> DataFrame:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
+        # Millions of short-lived objects without cycles: looking through them again and again costs a third of the time.
+        gc.disable()
         for number, (batch, texts) in enumerate(_chunks(batches)):
             yield _chunk_rows(pair(), f"{task}-{number}", batch.column("row"), texts)
 
     return rows.mapInArrow(work, kind)
 
 
+def _expanded(begins: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places of all members of the runs ``which``; run k goes from ``begins[k]`` to ``begins[k + 1]``."""
+    sizes = np.diff(begins)[which]
+    upto = np.cumsum(sizes)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(begins[which] - (upto - sizes), sizes)
+
+
 def _chunk_rows(pair: Pair, chunk: str, carried: pa.Array, texts: Sequence[str]) -> pa.RecordBatch:
-    figures, digests, codes = [], [], []
-    for both in _tokenised(pair, texts):
-        if both is None:
-            figures.append((0, 0, 0, 0))
-            digests.append("")
-            codes.append(np.empty(0, np.int64))
+    whole = align(pair, texts)
+    words = spelled_words(pair, whole.a, whole.b, whole.cuts)
+    word_begins = (whole.begins["a"] + whole.begins["b"]).tolist()
+    spelled = np.array(["".join(words[s:e].tolist()) for s, e in zip(word_begins, word_begins[1:])] or [""], object)
+    pairs, number = np.unique((whole.a.ids[whole.of_a] << 32) | whole.b.ids[whole.of_b], return_inverse=True)
+    sizes = np.stack([whole.sizes(w) for w in ("a", "b", "groups", "links")])
+
+    n = len(texts)
+    figures, digests = np.zeros((4, n), np.int64), [""] * n
+    segments, times = [np.empty(0, np.int64)] * n, [np.empty(0, np.int64)] * n
+    for i, listed in enumerate(whole.texts):
+        if listed is None:
             continue
-        a, b = both
-        of_a, of_b, cuts = links(a, b)
-        figures.append((len(a.ids), len(b.ids), len(cuts), len(of_a)))
-        digests.append(hashlib.sha256(spelled_groups(pair, a, b, cuts).encode()).hexdigest())
-        codes.append((a.ids[of_a] << 32) | b.ids[of_b])
-    listed, number = np.unique(np.concatenate(codes), return_inverse=True)
-    doc = np.repeat(np.arange(len(texts)), [len(c) for c in codes])
-    seen, times = np.unique(doc * max(len(listed), 1) + number, return_counts=True)
-    place, owner = (seen % max(len(listed), 1)).astype(np.int32), seen // max(len(listed), 1)
-    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-    bounds = pa.array(np.append(bounds, bounds[-1]).astype(np.int32))
-    columns = np.array(figures, np.int64).T
-    more = lambda values, kind: pa.concat_arrays([pa.array(values, kind), pa.nulls(1, kind)])
-    only_last = lambda values, kind: pa.concat_arrays(
-        [pa.nulls(len(texts), pa.list_(kind)), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))]
+        figures[:, i] = sizes[:, listed].sum(axis=1)
+        digests[i] = hashlib.sha256("".join(spelled[listed].tolist())[:-1].encode()).hexdigest()
+        segments[i], times[i] = np.unique(listed, return_counts=True)
+    # Documents of each pair: first the segments of a document, then the pairs of those, each once.
+    flat = np.concatenate([np.empty(0, np.int64), *segments])
+    owner = np.repeat(np.arange(n), [len(x) for x in segments])
+    links_begin = whole.begins["links"]
+    held = np.repeat(owner, np.diff(links_begin)[flat]) * max(len(pairs), 1) + number[_expanded(links_begin, flat)]
+    docs = np.bincount(np.unique(held) % max(len(pairs), 1), minlength=len(pairs)).astype(np.int32)
+
+    bounds = np.cumsum([0, *(len(x) for x in segments)]).astype(np.int32)
+    of_docs = lambda values: pa.concat_arrays(
+        [pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.empty(0, np.int64), *values]).astype(np.int32))), pa.nulls(1, pa.list_(pa.int32()))]
+    )
+    of_chunk = lambda values, kind: pa.concat_arrays(
+        [pa.nulls(n, pa.list_(kind)), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))]
     )
     arrays = [
-        pa.array([chunk] * (len(texts) + 1), pa.string()),
+        pa.array([chunk] * (n + 1), pa.string()),
         pa.concat_arrays([carried, pa.nulls(1, carried.type)]),
-        *[more(c, pa.int64()) for c in columns],
-        more(digests, pa.string()),
-        pa.ListArray.from_arrays(bounds, pa.array(place)),
-        pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))),
-        only_last(listed, pa.int64()),
-        only_last(np.bincount(place, minlength=len(listed)).astype(np.int32), pa.int32()),
+        *[pa.concat_arrays([pa.array(c), pa.nulls(1, pa.int64())]) for c in figures],
+        pa.array([*digests, None], pa.string()),
+        of_docs(segments),
+        of_docs(times),
+        of_chunk(number.astype(np.int32), pa.int32()),
+        of_chunk(links_begin.astype(np.int32), pa.int32()),
+        of_chunk(pairs, pa.int64()),
+        of_chunk(docs, pa.int32()),
     ]
-    names = ["chunk", "row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "places", "times", "codes", "docs"]
+    names = ["chunk", "row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", *_LISTS, "codes", "docs"]
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
 def _summed(rows: pa.Table, told: pa.Table) -> pa.Table:
     """The documents of one chunk with the counts of its pairs."""
-    n = np.zeros(told.num_rows, np.int64)
-    best = np.zeros(told.num_rows, np.int64)
+    n, best = np.zeros(told.num_rows, np.int64), np.zeros(told.num_rows, np.int64)
     place = told.column("place").to_numpy()
     n[place] = told.column("n").to_numpy()
     best[place] = told.column("best").to_numpy(zero_copy_only=False)
-    lists = rows.column("places").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    owner = np.repeat(np.arange(rows.num_rows), sizes)
-    which = lists.flatten().to_numpy()
-    times = rows.column("times").combine_chunks().flatten().to_numpy().astype(np.int64)
-    # Sums of whole numbers; a float would round them.
-    total, of_best = np.zeros(rows.num_rows, np.int64), np.zeros(rows.num_rows, np.int64)
-    np.add.at(total, owner, times * n[which])
-    np.add.at(of_best, owner, times * best[which])
-    kept = rows.drop_columns(["chunk", "places", "times"])
-    return kept.append_column("n_best", pa.array(of_best)).append_column("count_sum", pa.array(total))
+    of_chunk = rows.filter(rows.column("places").is_valid())
+    number, bounds = (of_chunk.column(c).combine_chunks().flatten().to_numpy() for c in ("places", "bounds"))
+    rows = rows.filter(rows.column("segments").is_valid())
+    lists = rows.column("segments").combine_chunks()
+    which, times = lists.flatten().to_numpy(), rows.column("times").combine_chunks().flatten().to_numpy().astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    kept = rows.drop_columns(["chunk", *_LISTS])
+    for name, values in (("n_best", best), ("count_sum", n)):
+        # Differences of running sums of whole numbers: exact, and right for empty runs.
+        run = np.concatenate([[0], np.cumsum(values[number])])
+        of_segment = run[bounds[1:]] - run[bounds[:-1]]
+        run = np.concatenate([[0], np.cumsum(times * of_segment[which])])
+        kept = kept.append_column(name, pa.array(run[ends[1:]] - run[ends[:-1]]))
+    return kept

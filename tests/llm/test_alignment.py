@@ -98,22 +98,24 @@ def test_groups_are_the_texts(make, pair):
             start = g.end
 
 
-def test_slices_change_nothing(pair, monkeypatch):
-    text = "Éa 12 (b) c\n\nd  e f'll don't 中 文 x " * 50
-    whole = alignment._tokenised(pair, [text])[0]
-    monkeypatch.setattr(alignment, "SLICE_CHARS", 40)
-    assert len(pair.slices(text)) > 10
-    cut = alignment._tokenised(pair, [text])[0]
-    for k in (0, 1):
-        assert np.array_equal(whole[k].ids, cut[k].ids) and np.array_equal(whole[k].ends, cut[k].ends)
+def test_segments_change_nothing(pair):
+    texts = [*TEXTS, "Éa 12 (b) c\n\nd  e f'll don't 中 文 x \u00a0 y\u2003z\x1c q " * 20]
+    assert len(pair.segments(texts[-1])) > 100
+    for text in texts:
+        known, cut = walked(pair, text), alignment.align(pair, [text or ""])
+        if known is None:
+            assert cut.texts == [None]
+            continue
+        for k, name in ((0, "a"), (1, "b")):
+            laid = (cut.a, cut.b)[k]
+            assert laid.ids[alignment._expanded(cut.begins[name], cut.texts[0])].tolist() == known[k]
 
 
 def test_coarse_cuts_agree_with_decoded_bytes(pair):
-    for text in TEXTS:
-        both = alignment._tokenised(pair, [text or ""])[0]
-        if both:
-            assert np.array_equal(both[0].ends, np.cumsum(pair.a_size[both[0].ids]))
-            assert np.array_equal(both[1].ends, np.cumsum(pair.b_size[both[1].ids]))
+    texts = [t for t in TEXTS if t]
+    a, b, good = pair.tokens(texts)
+    assert good.tolist() == [walked(pair, t) is not None for t in texts] and not good.all()
+    assert np.array_equal(a.ends, np.cumsum(pair.a_size[a.ids])) and np.array_equal(b.ends, np.cumsum(pair.b_size[b.ids]))
 
 
 def test_empty_table_and_missing_vocabulary(make):
