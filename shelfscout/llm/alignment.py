@@ -7,7 +7,8 @@ from the decoded bytes, counted from the last coarse cut. Byte offsets where tok
 token occurrences whose byte ranges overlap, and the count of an id pair is the number of documents that hold it linked.
 
 Texts are cut into segments at every single space between two characters that are not white space: no token of A or B reaches across it, so both end
-there. Texts are taken in chunks of ``CHUNK_BYTES``, and a chunk encodes, aligns and links each distinct segment once. It keeps the segments of its
+there. Texts are taken in chunks of ``CHUNK_BYTES``, and a chunk aligns and links each distinct segment once; a task
+encodes those it has not met before. It keeps the segments of its
 documents and the pairs of its segments as numbers into one list of its pairs. Counts are sums over those lists, one row per chunk and pair, and
 return to the chunk in one join, so no row per link is shuffled and a pair that all documents share has one row per chunk.
 
@@ -37,9 +38,11 @@ from shelfscout.llm.common import named, others, packed, shared, unpacked
 from shelfscout.session import configure, spill
 
 # Text that is aligned at once, in characters.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Bytes of segments that are encoded in one call.
 BLOCK_BYTES = 1 << 14
+# Distinct segments whose tokens a task keeps from chunk to chunk.
+REMEMBERED = 400_000
 # Where the vocabulary files are looked for unless the caller names them; they are read on the driver and sent to the tasks.
 VOCABULARY_FOLDER = "/opt/tokenizers"
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -106,6 +109,8 @@ class Pair:
         # Texts are cut only if no piece can reach over a space that follows something else.
         self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
         self.a_word = [np.array([f"{i}{end}" for i in range(len(self.a_bytes))], object) for end in ",|"]
+        self.known: dict[str, int] = {}
+        self.held = [Tokens(*[np.empty(0, np.int64)] * 3)] * 2
         self.b_word = [np.array([f"{i}{end}" for i in range(len(pieces))], object) for end in ",;"]
 
     def segments(self, text: str) -> list[str]:
@@ -117,30 +122,67 @@ class Pair:
 
         The tokens of the other parts are left out.
         """
-        encoded = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        protos = [list(x.pieces) for x in self.b.encode(list(parts), return_type="proto", num_threads=1)]
-        a = _flat((x.ids for x in encoded))
-        b = _flat([p.id for p in x] for x in protos)
-        counts = [np.fromiter(map(len, x), np.int64, len(parts)) for x in (encoded, protos)]
-        spelt = [(" " + p).encode() for p in parts]
-        sizes = np.fromiter(map(len, spelt), np.int64, len(parts))
-        good = self._spelt_back(self.a_bytes, a, counts[0], spelt) & self._spelt_back(self.b_bytes, b, counts[1], spelt)
-        if not good.all():
-            kept = np.flatnonzero(good).tolist()
-            encoded, protos, parts = ([x[i] for i in kept] for x in (encoded, protos, parts))
-            a, b = a[np.repeat(good, counts[0])], b[np.repeat(good, counts[1])]
-            counts, sizes = [c[good] for c in counts], sizes[good]
-        begins = np.cumsum(sizes) - sizes
-        # Character offsets of A as bytes.
-        chars = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
-        spans = _flat(chain.from_iterable(x.offsets) for x in encoded).reshape(-1, 2)
-        spans = _byte_places(" ".join(["", *parts]))[spans + np.repeat(np.cumsum(chars) - chars, counts[0])[:, None]]
+        good, found, before = np.zeros(len(parts), bool), [], 0
+        for i, part in enumerate(parts):
+            both = self._one(part)
+            if both is not None:
+                good[i] = True
+                found.append([(ids, ends + before) for ids, ends in both])
+                before = found[-1][0][1][-1]
+        none = np.empty(0, np.int64)
+        a, b = (
+            Tokens(
+                np.concatenate([none, *(f[k][0] for f in found)]),
+                np.concatenate([none, *(f[k][1] for f in found)]),
+                np.array([len(f[k][0]) for f in found], np.int64),
+            )
+            for k in (0, 1)
+        )
+        return a, b, good
+
+    def _one(self, part: str) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids and byte ends of A and of B."""
+        spelt = (" " + part).encode()
+        encoded = self.a.encode(" " + part, add_special_tokens=False)
+        a = np.array(encoded.ids, np.int64)
+        pieces = self.b.encode(part, return_type="proto").pieces
+        told = np.array([(p.id, p.end) for p in pieces], np.int64).reshape(-1, 2)
+        b = told[:, 0]
+        if b"".join(self.a_bytes[a].tolist()) != spelt or b"".join(self.b_bytes[b].tolist()) != spelt:
+            return None
+        spans = np.fromiter(chain.from_iterable(encoded.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
+        if len(spelt) != len(part) + 1:
+            spans = _byte_places(" " + part)[spans]
         # A cut is sure unless the next token starts before it: then both hold bytes of one character.
-        sure = np.append(spans[1:, 0] >= spans[:-1, 1], True)[: len(a)]
+        sure = np.append(spans[1:, 0] >= spans[:-1, 1], True)
         ends_a = _refined(spans[:, 1], sure, self.a_size[a])
         # B's spans leave out the space put before the text; the span of a fallback byte is empty up to the last byte of a character.
-        coarse = _flat([p.end for p in x] for x in protos) + 1 + np.repeat(begins, counts[1])
-        return Tokens(a, ends_a, counts[0]), Tokens(b, _refined(coarse, ~self.b_byte[b], self.b_size[b]), counts[1]), good
+        return [(a, ends_a), (b, _refined(told[:, 1] + 1, ~self.b_byte[b], self.b_size[b]))]
+
+    def remembered(self, parts: Sequence[str]) -> tuple[Tokens, Tokens, np.ndarray]:
+        """As ``segment_tokens``; segments met before are not encoded again. What is kept is bounded by ``REMEMBERED``."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.held = {}, [Tokens(*[np.empty(0, np.int64)] * 3)] * 2
+        new = [p for p in parts if p not in self.known]
+        *added, place = self.segment_tokens(new)
+        count = len(self.held[0].counts)
+        self.known.update(zip(new, np.where(place < 0, -1, place + count).tolist()))
+        joined = []
+        for old, more in zip(self.held, added):
+            starts = np.concatenate([[0], more.ends[np.cumsum(more.counts) - 1]])[:-1] if len(more.ids) else more.counts
+            # The ends of a kept segment count from its own beginning.
+            own = more.ends - np.repeat(starts, more.counts)
+            joined.append(Tokens(*(np.concatenate(x) for x in ((old.ids, more.ids), (old.ends, own), (old.counts, more.counts)))))
+        self.held = joined
+        where = np.fromiter((self.known[p] for p in parts), np.int64, len(parts))
+        wanted = where[where >= 0]
+        out = []
+        for held in self.held:
+            begins = np.concatenate([[0], np.cumsum(held.counts)])
+            members, counts = _expanded(begins, wanted), held.counts[wanted]
+            last = held.ends[begins[1:][wanted] - 1]
+            out.append(Tokens(held.ids[members], held.ends[members] + np.repeat(np.cumsum(last) - last, counts), counts))
+        return out[0], out[1], np.where(where < 0, -1, np.cumsum(where >= 0) - 1)
 
     def segment_tokens(self, parts: Sequence[str]) -> tuple[Tokens, Tokens, np.ndarray]:
         """As ``tokens`` for distinct segments; the place of each among those that are spelt back, -1 for the others.
@@ -174,10 +216,6 @@ class Pair:
         return np.fromiter((b"".join(decoded[s:e]) == x for s, e, x in zip([0, *ends], ends, spelt)), bool, len(spelt))
 
 
-def _flat(lists) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(lists), np.int64)
-
-
 def _byte_places(text: str) -> np.ndarray:
     """Byte offset of every character, and of the end."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -244,7 +282,7 @@ class Aligned:
 def align(pair: Pair, texts: Sequence[str]) -> Aligned:
     known: dict[str, int] = {}
     listed = [np.array([known.setdefault(p, len(known)) for p in pair.segments(t)], np.int64) if t else None for t in texts]
-    a, b, place = pair.segment_tokens(list(known))
+    a, b, place = pair.remembered(list(known))
     listed = [None if x is None or place[x].min() < 0 else place[x] for x in listed]
     starts = {name: np.concatenate([[0], np.cumsum(t.counts)]) for name, t in (("a", a), ("b", b))}
     starts["bytes"] = np.concatenate([[0], a.ends[starts["a"][1:] - 1]])

@@ -7,6 +7,7 @@ import os
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfscout.llm import alignment
@@ -130,3 +131,15 @@ def test_query(spark, folder, pair):
     got = {r.doc_id: tuple(r[c] for c in alignment.ADDED) for r in QUERIES["op12_alignment"](spark, folder).collect()}
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     assert got == dict(zip([d.doc_id for d in docs], expected(pair, [d.text for d in docs])))
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    texts = [t for t in TEXTS if t and len(t) < 5000]
+    runs = []
+    for limit in (alignment.REMEMBERED, 2):
+        monkeypatch.setattr(alignment, "REMEMBERED", limit)
+        fresh = alignment.Pair(alignment.read_vocabularies())
+        rows = [alignment._chunk_rows(fresh, "c", pa.array([{"d": 1}]), [t]).to_pylist() for t in [*texts, *texts]]
+        assert rows[: len(texts)] == rows[len(texts) :]
+        runs.append(rows)
+    assert runs[0] == runs[1]
