@@ -228,12 +228,9 @@ def _start(table: str, key: str, letter: str) -> str:
 def mf_first_step(spark, folder):
     """Item factors after the first half epoch from the initial factors."""
     _, train, _ = split(spark, folder)
-    users = factorization.initial_factors(train.select("user_id").distinct(), "user_id", "p", 10, factorization.SEED)
-    items = factorization.initial_factors(train.select("item_id").distinct(), "item_id", "q", 10, factorization.SEED)
-    moved = factorization.half_epoch(
-        train, spill(users, "p"), spill(items, "q"), "user_id", "item_id", "p", "q", 10,
-        factorization.LEARNING_RATE, factorization.REGULARIZATION,
-    )
+    grid = factorization.build_grid(train, "user_id", "item_id")
+    users, items = (grid.start(side, 10, factorization.SEED) for side in (grid.users, grid.items))
+    moved = grid.table(grid.move(users, items, 10, factorization.LEARNING_RATE, factorization.REGULARIZATION), 10)
     values = F.posexplode(F.array(*[f"q{j}" for j in range(10)])).alias("dim", "value")
     return moved.select("item_id", values).withColumn("value", S.rounded("value"))
 

@@ -211,7 +211,9 @@ def test_one_pair_moves_as_in_plain_descent(spark):
     pairs = spark.createDataFrame([(1, 5)], "user_id long, item_id long")
     users = spark.createDataFrame([(1, 0.2, -0.1)], "user_id long, p0 double, p1 double")
     items = spark.createDataFrame([(5, 0.3, 0.4)], "item_id long, q0 double, q1 double")
-    moved = factorization.half_epoch(pairs, users, items, "user_id", "item_id", "p", "q", 2, 0.03, 0.01).first()
+    grid = factorization.build_grid(pairs, "user_id", "item_id")
+    state = grid.move(grid.start(grid.users, 2, factors=users), grid.start(grid.items, 2, factors=items), 2, 0.03, 0.01)
+    moved = grid.table(state, 2).first()
     p, q = np.array([0.2, -0.1]), np.array([0.3, 0.4])
     want = q + 0.03 * ((1 - p @ q) * p - 0.01 * q)
     assert [moved["q0"], moved["q1"]] == pytest.approx(want)
@@ -222,9 +224,38 @@ def test_constant_example_loss(spark):
     pairs = spark.createDataFrame([(1, 5), (2, 5)], "user_id long, item_id long")
     users = spark.createDataFrame([(1, 0.9), (2, 1.0)], "user_id long, p0 double")
     items = spark.createDataFrame([(5, 1.0)], "item_id long, q0 double")
-    seen = factorization.half_epoch(pairs, users, items, "user_id", "item_id", "p", "q", 1, 0.03, 0.0)
-    row = seen.agg((F.sum("_sq") / F.sum("_n")).alias("loss")).first()
-    assert row["loss"] == pytest.approx(0.005)
+    grid = factorization.build_grid(pairs, "user_id", "item_id")
+    seen = grid.move(grid.start(grid.users, 1, factors=users), grid.start(grid.items, 1, factors=items), 1, 0.03, 0.0)
+    assert seen.error / seen.n == pytest.approx(0.005)
+
+
+def test_cells_of_any_size_move_alike(spark):
+    """A hot user and a hot item, small and large blocks, one slice or many, repeated pairs: the step of the dense formula."""
+    rng = np.random.default_rng(4)
+    pairs = [(int(u), int(i)) for u in range(40) for i in rng.choice(50, 4, replace=False)]
+    pairs += [(0, i) for i in range(50)] + [(u, 7) for u in range(40)] + [(3, 3)] * 5
+    train = spark.createDataFrame(pairs, "user_id long, item_id long")
+    k, lr, reg = 3, 0.03, 0.01
+    seen = []
+    for rows, users_of_slice in ((7, 2), (1000, 256)):
+        grid = factorization.build_grid(train, "user_id", "item_id", rows, users_of_slice)
+        users, items = grid.start(grid.users, k), grid.start(grid.items, k)
+        after = grid.move(users, items, k, lr, reg)
+        tables = [
+            {r[0]: np.array(r[1:]) for r in grid.table(s, k).collect()} for s in (users, items, after)
+        ]
+        seen.append(tables[2])
+        p, q, moved = tables
+        for i in q:
+            met = np.array([p[u] for u, x in pairs if x == i])
+            n, c = len(met), np.square(met).sum() / len(met) + reg
+            step = (1 - max(1 - lr * c, 0) ** n) / (n * c)
+            assert moved[i] == pytest.approx(q[i] + step * ((1 - met @ q[i]) @ met - n * reg * q[i]))
+        assert after.n == len(pairs)
+        assert after.error == pytest.approx(sum((1 - p[u] @ q[i]) ** 2 for u, i in pairs))
+        assert after.square == pytest.approx(np.square(np.array(list(moved.values()))).mean())
+    assert seen[0].keys() == seen[1].keys()
+    assert all(seen[0][i] == pytest.approx(seen[1][i]) for i in seen[0])
 
 
 def test_initial_spread(spark):
