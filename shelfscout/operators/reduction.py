@@ -7,15 +7,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from shelfscout.operators.dense import chunks, double_lists
+from shelfscout.operators.dense import chunks, double_lists, sparse_pieces
+from shelfscout.session import task_count
 
 # The driver keeps width x components loadings; refuse what would not fit.
 MAX_LOADINGS = 50_000_000
+# Numbers of a partial table that travel in one row.
+BLOCK_VALUES = 131_072
 
 
 @dataclass
@@ -58,42 +62,83 @@ def fit_pca(rows: DataFrame, width: int, components: int, column: str = "vec") -
 
 def project(rows: DataFrame, key: str, projection: Projection, column: str = "vec", out: str = "vec") -> DataFrame:
     """``(key, out)`` with the components of each row; one pass, no shuffle."""
-    width, mean, loadings = projection.width, projection.mean, projection.loadings
-    columns = [column] if column in rows.columns else ["indices", "values"]
+    width, size = projection.width, projection.loadings.shape[1]
+    dense = column in rows.columns
+    held = rows.sparkSession.sparkContext.broadcast((projection.mean, projection.loadings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mean, loadings = held.value
         for batch in batches:
-            for first, piece in chunks(batch, width, column):
-                keys = batch.column(key).slice(first, len(piece))
-                yield pa.RecordBatch.from_arrays([keys, double_lists((piece - mean) @ loadings)], names=[key, out])
-
+            if dense:
+                products = ((first, (piece - mean) @ loadings) for first, piece in chunks(batch, width, column))
+            else:  # sparse rows are not centred
+                products = ((piece.first, piece.times(loadings)) for piece in sparse_pieces(batch, size))
+            for first, product in products:
+                keys = batch.column(key).slice(first, len(product))
+                yield pa.RecordBatch.from_arrays([keys, double_lists(product)], names=[key, out])
+
+    columns = [column] if dense else ["indices", "values"]
     kind = dict(rows.dtypes)[key]
     return rows.select(key, *columns).mapInArrow(run, f"{key} {kind}, {out} array<double>")
 
 
 def _gram_product(rows: DataFrame, basis: np.ndarray, column: str) -> np.ndarray:
-    """(A'A) times ``basis``, summed over tasks in Spark; the result is as small as ``basis``."""
-    width, size = basis.shape
-    columns = [column] if column in rows.columns else ["indices", "values"]
+    """(A'A) times ``basis``: partial tables of the tasks, cut into blocks of rows and added up block by block on the cluster.
+
+    Sparse rows are multiplied from their stored values; none is filled up.
+    """
+    spark, (width, size) = rows.sparkSession, basis.shape
+    dense = column in rows.columns
+    held = spark.sparkContext.broadcast(basis)
+    per_block = max(1, BLOCK_VALUES // size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((width, size))
+        now, total = held.value, np.zeros((width, size))
         for batch in batches:
-            for _, piece in chunks(batch, width, column):
-                total += piece.T @ (piece @ basis)
-        touched = np.flatnonzero(np.any(total != 0, axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(touched.astype(np.int32)), double_lists(total[touched])], names=["dim", "part"]
-        )
-
-    parts = rows.select(*columns).mapInArrow(run, "dim int, part array<double>")
-    sums = parts.groupBy("dim").agg(Summarizer.sum(array_to_vector(F.col("part"))).alias("s"))
+            if dense:
+                for _, piece in chunks(batch, width, column):
+                    total += piece.T @ (piece @ now)
+            else:
+                for piece in sparse_pieces(batch, size):
+                    piece.add_transposed(piece.times(now), total)
+        task = TaskContext.get().partitionId()
+        for start in range(0, width, per_block):
+            part = total[start : start + per_block]
+            if part.any():
+                yield _block(start // per_block, task, part)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, total = None, None
+        for batch in batches:
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                part = np.asarray(batch.column("part")[i].values).reshape(-1, size)
+                if block != number:
+                    if total is not None:
+                        yield _block(number, 0, total)
+                    number, total = block, np.zeros(part.shape)
+                total += part
+        if total is not None:
+            yield _block(number, 0, total)
+
+    kind = "block int, task int, part array<double>"
+    parts = rows.select(*([column] if dense else ["indices", "values"])).mapInArrow(run, kind)
+    # In the order of the tasks, so that a run repeats to the last bit.
+    dealt = parts.repartition(task_count(spark), "block").sortWithinPartitions("block", "task")
     out = np.zeros((width, size))
-    for row in sums.collect():
-        out[row["dim"]] = row["s"].toArray()
+    for row in dealt.mapInArrow(merged, kind).toLocalIterator():
+        start = row["block"] * per_block
+        part = np.array(row["part"]).reshape(-1, size)
+        out[start : start + len(part)] = part
+    held.unpersist()
     return out
 
 
+def _block(number: int, task: int, part: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number], pa.int32()), pa.array([task], pa.int32()), double_lists(part.reshape(1, -1))], names=["block", "task", "part"]
+    )
+
+
 def fit_svd(
     rows: DataFrame, width: int, components: int, seed: int = 42, oversample: int = 10, passes: int = 5, column: str = "vec"
 ) -> Projection:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,3 +264,46 @@ def test_initial_spread(spark):
     x = factorization.initial_factors(ids, "user_id", "p", 2, 42).select("p0", "p1").toPandas().to_numpy()
     assert abs(x.mean()) < 0.005 and x.std() == pytest.approx(0.1, rel=0.05)
     assert abs(np.corrcoef(x.T)[0, 1]) < 0.05
+
+
+def test_sparse_products_fill_no_row(spark):
+    """Products from stored values equal those of the filled-up matrix, empty and NULL rows included, in pieces of any size."""
+    from shelfscout.operators import dense
+
+    rng = np.random.default_rng(6)
+    table = rng.standard_normal((30, 12)) * (rng.random((30, 12)) < 0.2)
+    table[4] = 0
+    cells = [np.flatnonzero(r) for r in table]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([None if i == 4 else c.tolist() for i, c in enumerate(cells)], pa.list_(pa.int32())),
+         pa.array([None if i == 4 else table[i, c].tolist() for i, c in enumerate(cells)], pa.list_(pa.float64()))],
+        names=["indices", "values"],
+    )
+    basis = rng.standard_normal((12, 3))
+    for limit in (3, 20, 10_000):
+        found, total = [], np.zeros((12, 3))
+        old, dense.CHUNK_VALUES = dense.CHUNK_VALUES, limit
+        try:
+            for piece in dense.sparse_pieces(batch, 3):
+                found.append(piece.times(basis))
+                piece.add_transposed(found[-1], total)
+        finally:
+            dense.CHUNK_VALUES = old
+        assert np.concatenate(found) == pytest.approx(table @ basis)
+        assert total == pytest.approx(table.T @ (table @ basis))
+
+
+def test_loadings_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(reduction, "BLOCK_VALUES", 40)  # several blocks
+    rng = np.random.default_rng(7)
+    table = rng.standard_normal((60, 25)) * (rng.random((60, 25)) < 0.3)
+    rows = [(i, np.flatnonzero(r).tolist(), r[np.flatnonzero(r)].tolist()) for i, r in enumerate(table)]
+    df = spark.createDataFrame(rows, "id long, indices array<int>, values array<double>")
+    fits = [reduction.fit_svd(df.repartition(n), 25, 4, passes=30) for n in (1, 3, 7)]
+    _, values, turned = np.linalg.svd(table, full_matrices=False)
+    for fit in fits:
+        assert fit.singular_values == pytest.approx(values[:4])
+        assert np.abs(np.sum(fit.loadings * turned[:4].T, axis=0)) == pytest.approx(np.ones(4), abs=1e-4)
+        assert fit.loadings == pytest.approx(fits[0].loadings, abs=1e-9)
+        projected = {r["id"]: r["vec"] for r in reduction.project(df, "id", fit).collect()}
+        assert np.array([projected[i] for i in range(60)]) == pytest.approx(table @ fit.loadings)
