@@ -26,6 +26,7 @@ import hashlib
 import json
 import os
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
@@ -38,7 +39,7 @@ from shelfscout.llm.common import named, others, packed, shared, unpacked
 from shelfscout.session import configure, spill
 
 # Text that is aligned at once, in characters.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 4 << 20
 # Bytes of segments that are encoded in one call.
 BLOCK_BYTES = 1 << 14
 # Distinct segments whose tokens a task keeps from chunk to chunk.
@@ -279,9 +280,26 @@ class Aligned:
         return np.diff(self.begins[what])
 
 
+class _Numbers(dict):
+    """Numbers its keys as they come."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Whole numbers of one length, compressed; ``_unpacked`` gives them back."""
+    return zlib.compress(np.concatenate(arrays).astype(np.int32).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), np.int32)
+
+
 def align(pair: Pair, texts: Sequence[str]) -> Aligned:
-    known: dict[str, int] = {}
-    listed = [np.array([known.setdefault(p, len(known)) for p in pair.segments(t)], np.int64) if t else None for t in texts]
+    known = _Numbers()
+    listed = [np.fromiter(map(known.__getitem__, pair.segments(t)), np.int64) if t else None for t in texts]
     a, b, place = pair.remembered(list(known))
     listed = [None if x is None or place[x].min() < 0 else place[x] for x in listed]
     starts = {name: np.concatenate([[0], np.cumsum(t.counts)]) for name, t in (("a", a), ("b", b))}
@@ -369,8 +387,9 @@ def alignment_counts(docs: DataFrame, text: str = "text", vocabularies: tuple[by
     return done.select(*unpacked("row", docs, ADDED), *[F.col(c) for c in ADDED])
 
 
-# What a document's row holds (segments, times) and what the row of its chunk holds for all of its segments (places, bounds).
-_LISTS = ("segments", "times", "places", "bounds")
+# What a document's row holds (the steps between its ascending segments, and how often it has each) and what the row of its chunk holds
+# for all of its segments (the places of their pairs, and where those of each segment begin), compressed.
+_LISTS = ("segments", "places", "bounds")
 
 
 def _held_links(docs: DataFrame, text: str, pair) -> DataFrame:
@@ -384,7 +403,7 @@ def _held_links(docs: DataFrame, text: str, pair) -> DataFrame:
             T.StructField("row", rows.schema["row"].dataType),
             *[T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")],
             T.StructField("groups_sha256", T.StringType()),
-            *[T.StructField(c, integers) for c in _LISTS],
+            *[T.StructField(c, T.BinaryType()) for c in _LISTS],
             T.StructField("codes", T.ArrayType(T.LongType())),
             T.StructField("docs", integers),
         ]
@@ -431,12 +450,10 @@ def _chunk_rows(pair: Pair, chunk: str, carried: pa.Array, texts: Sequence[str])
     owner = np.repeat(np.arange(n), [len(x) for x in segments])
     links_begin = whole.begins["links"]
     held = np.repeat(owner, np.diff(links_begin)[flat]) * max(len(pairs), 1) + number[_expanded(links_begin, flat)]
-    docs = np.bincount(np.unique(held) % max(len(pairs), 1), minlength=len(pairs)).astype(np.int32)
+    held.sort()
+    once = held[np.flatnonzero(np.diff(held, prepend=-1))]
+    docs = np.bincount(once % max(len(pairs), 1), minlength=len(pairs)).astype(np.int32)
 
-    bounds = np.cumsum([0, *(len(x) for x in segments)]).astype(np.int32)
-    of_docs = lambda values: pa.concat_arrays(
-        [pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.empty(0, np.int64), *values]).astype(np.int32))), pa.nulls(1, pa.list_(pa.int32()))]
-    )
     of_chunk = lambda values, kind: pa.concat_arrays(
         [pa.nulls(n, pa.list_(kind)), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))]
     )
@@ -445,10 +462,9 @@ def _chunk_rows(pair: Pair, chunk: str, carried: pa.Array, texts: Sequence[str])
         pa.concat_arrays([carried, pa.nulls(1, carried.type)]),
         *[pa.concat_arrays([pa.array(c), pa.nulls(1, pa.int64())]) for c in figures],
         pa.array([*digests, None], pa.string()),
-        of_docs(segments),
-        of_docs(times),
-        of_chunk(number.astype(np.int32), pa.int32()),
-        of_chunk(links_begin.astype(np.int32), pa.int32()),
+        pa.array([*(_packed(np.diff(x, prepend=0), t) for x, t in zip(segments, times)), None], pa.binary()),
+        pa.array([*[None] * n, _packed(number)], pa.binary()),
+        pa.array([*[None] * n, _packed(links_begin)], pa.binary()),
         of_chunk(pairs, pa.int64()),
         of_chunk(docs, pa.int32()),
     ]
@@ -463,11 +479,12 @@ def _summed(rows: pa.Table, told: pa.Table) -> pa.Table:
     n[place] = told.column("n").to_numpy()
     best[place] = told.column("best").to_numpy(zero_copy_only=False)
     of_chunk = rows.filter(rows.column("places").is_valid())
-    number, bounds = (of_chunk.column(c).combine_chunks().flatten().to_numpy() for c in ("places", "bounds"))
+    number, bounds = (_unpacked(of_chunk.column(c)[0].as_py()) for c in ("places", "bounds"))
     rows = rows.filter(rows.column("segments").is_valid())
-    lists = rows.column("segments").combine_chunks()
-    which, times = lists.flatten().to_numpy(), rows.column("times").combine_chunks().flatten().to_numpy().astype(np.int64)
-    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    lists = [_unpacked(x).reshape(2, -1) for x in rows.column("segments").to_pylist()]
+    which = np.concatenate([np.empty(0, np.int64), *(np.cumsum(x[0]) for x in lists)]).astype(np.int64)
+    times = np.concatenate([np.empty(0, np.int64), *(x[1] for x in lists)]).astype(np.int64)
+    ends = np.cumsum([0, *(x.shape[1] for x in lists)])
     kept = rows.drop_columns(["chunk", *_LISTS])
     for name, values in (("n_best", best), ("count_sum", n)):
         # Differences of running sums of whole numbers: exact, and right for empty runs.
