@@ -322,8 +322,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
                 start, held = i + 1, 0
 
 
-def _rows(docs: DataFrame, text: str, added: Sequence[str]) -> DataFrame:
-    carried = packed(docs, added) if others(docs, added) else F.struct(F.lit(None).cast("int").alias("_"))
+def _rows(docs: DataFrame, text: str, added: Sequence[str], kept: DataFrame | None = None) -> DataFrame:
+    kept = docs if kept is None else kept
+    carried = packed(kept, added) if others(kept, added) else F.struct(F.lit(None).cast("int").alias("_"))
     return docs.select(carried.alias("row"), named(text).cast("string").alias("text"))
 
 
@@ -369,10 +370,13 @@ def _task_pair(spark: SparkSession, vocabularies: tuple[bytes, bytes] | None):
     return get
 
 
-def alignment_counts(docs: DataFrame, text: str = "text", vocabularies: tuple[bytes, bytes] | None = None) -> DataFrame:
-    """Add the figures of ``ADDED`` to every row."""
+def alignment_counts(
+    docs: DataFrame, text: str = "text", vocabularies: tuple[bytes, bytes] | None = None, carry: Sequence[str] | None = None
+) -> DataFrame:
+    """Add the figures of ``ADDED`` to every row, or to the columns ``carry`` of it; what is carried is shuffled once."""
     spark = configure(docs.sparkSession)
-    held = spill(_held_links(docs, text, _task_pair(spark, vocabularies)), "links")
+    kept_columns = docs if carry is None else docs.select(*map(named, carry))
+    held = spill(_held_links(docs, text, kept_columns, _task_pair(spark, vocabularies)), "links")
     listed = held.where("codes IS NOT NULL").select("chunk", F.posexplode(F.arrays_zip("codes", "docs")).alias("place", "pair"))
     listed = listed.select("chunk", "place", "pair.codes", "pair.docs")
     counts = spill(listed.groupBy("codes").agg(F.sum("docs").alias("n")), "pairs")
@@ -384,7 +388,7 @@ def alignment_counts(docs: DataFrame, text: str = "text", vocabularies: tuple[by
     kept = [f for f in rows.schema if f.name not in ("chunk", *_LISTS)]
     kind = T.StructType([*kept, T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
     done = rows.groupBy("chunk").cogroup(told.groupBy("of_chunk")).applyInArrow(_summed, kind)
-    return done.select(*unpacked("row", docs, ADDED), *[F.col(c) for c in ADDED])
+    return done.select(*unpacked("row", kept_columns, ADDED), *[F.col(c) for c in ADDED])
 
 
 # What a document's row holds (the steps between its ascending segments, and how often it has each) and what the row of its chunk holds
@@ -392,10 +396,10 @@ def alignment_counts(docs: DataFrame, text: str = "text", vocabularies: tuple[by
 _LISTS = ("segments", "places", "bounds")
 
 
-def _held_links(docs: DataFrame, text: str, pair) -> DataFrame:
+def _held_links(docs: DataFrame, text: str, kept: DataFrame, pair) -> DataFrame:
     """A row per document with its distinct segments and how often it has each, and a row per chunk that lists the pairs of its segments, and all
     pairs with the number of documents that hold them."""
-    rows = _rows(docs, text, ADDED)
+    rows = _rows(docs, text, ADDED, kept)
     integers = T.ArrayType(T.IntegerType())
     kind = T.StructType(
         [

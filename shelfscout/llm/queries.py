@@ -163,7 +163,7 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_alignment")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links of two tokenizers over every document."""
-    return alignment.alignment_counts(table(spark, folder, "documents").select("doc_id", "text"))
+    return alignment.alignment_counts(table(spark, folder, "documents").select("doc_id", "text"), carry=["doc_id"])
 
 
 @query(
