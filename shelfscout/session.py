@@ -6,6 +6,9 @@ import os
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +77,35 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """Tables spilled inside are removed at the end of the block, however it ends.
+
+    What is read later is written by the function this yields, which takes what ``spill`` takes and belongs to the
+    block around this one, if there is one.
+    """
+    mine: list[str] = []
+    outer = _passing.get()
+    token = _passing.set(mine)
+
+    def lasting(df: DataFrame, *options: str) -> DataFrame:
+        inner = _passing.set(outer)
+        try:
+            return spill(df, *options)
+        finally:
+            _passing.reset(inner)
+
+    try:
+        yield lasting
+    finally:
+        _passing.reset(token)
+        for path in mine:
+            discard(spark, path)
+
+
 def task_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -89,5 +121,7 @@ def spill(df: DataFrame, label: str = "spill", spread_by: str | None = None) ->
     if spread_by is not None:
         df = df.repartition(task_count(spark), spread_by)
     path = scratch_path(spark, label)
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
