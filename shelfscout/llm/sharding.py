@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfscout.llm.common import named, others, packed, unpacked
-from shelfscout.session import scratch_path, spill
+from shelfscout.session import passing_tables, scratch_path, spill
 
 SHARDS = 24
 SEED = 42
@@ -85,26 +85,27 @@ def shuffle_into_shards(
     ``slot`` counts from 0 in each shard without a gap. ``bucket_bytes`` bounds what one task shuffles at a time.
     """
     spark = df.sparkSession
-    rows, sizes, per_shard = scatter(df, shards, seed, bucket_bytes, key, text)
-    bucket = F.shiftright("cell", PART_BITS).cast("int")
-    # One row per cell: the volume over ``bucket_bytes`` in all.
-    before = F.sum("n").over(
-        Window.partitionBy(F.floor(bucket / per_shard)).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = spill(sizes.select("cell", F.coalesce(before, F.lit(0)).cast("long").alias("start")), "starts")
-
-    scattered = rows.repartition(shards * per_shard, "cell").sortWithinPartitions("cell", "order")
-    shuffled = (
-        scattered.groupBy("cell").agg(F.collect_list("row").alias("rows"))
-        .join(starts, "cell")
-        .select(bucket.alias("bucket"), "start", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
-    )
     target = path or scratch_path(spark, "shards")
-    placed = shuffled.select(
-        *unpacked("row", df, ADDED),
-        F.floor(F.col("bucket") / per_shard).cast("int").alias("shard"),
-        "bucket",
-        (F.col("start") + F.col("place")).cast("long").alias("slot"),
-    )
-    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(target)
+    with passing_tables(spark):
+        rows, sizes, per_shard = scatter(df, shards, seed, bucket_bytes, key, text)
+        bucket = F.shiftright("cell", PART_BITS).cast("int")
+        # One row per cell: the volume over ``bucket_bytes`` in all.
+        before = F.sum("n").over(
+            Window.partitionBy(F.floor(bucket / per_shard)).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        starts = spill(sizes.select("cell", F.coalesce(before, F.lit(0)).cast("long").alias("start")), "starts")
+
+        scattered = rows.repartition(shards * per_shard, "cell").sortWithinPartitions("cell", "order")
+        shuffled = (
+            scattered.groupBy("cell").agg(F.collect_list("row").alias("rows"))
+            .join(starts, "cell")
+            .select(bucket.alias("bucket"), "start", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
+        )
+        placed = shuffled.select(
+            *unpacked("row", df, ADDED),
+            F.floor(F.col("bucket") / per_shard).cast("int").alias("shard"),
+            "bucket",
+            (F.col("start") + F.col("place")).cast("long").alias("slot"),
+        )
+        placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(target)
     return spark.read.schema(placed.schema).parquet(target).select(*others(df, ADDED), *ADDED)
