@@ -11,6 +11,7 @@ Defined results: a NULL text is empty; empty texts, NULL ids and repeated rows g
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,6 +20,8 @@ from shelfscout.llm.common import named, others
 
 CONTEXT_CHARS = 40
 THRESHOLD = 0.5
+# Elements that are added up at a time.
+FOLD = 256
 ADDED = ("spans",)
 
 # The octet of an address with any leading zeros, up to 255.
@@ -77,10 +80,34 @@ KINDS = (
 SPAN = "array<struct<kind:string,start:long,end:long,value:string,score:double>>"
 
 
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is bound to a name, so that it is made once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(sizes: Column) -> Column:
+    """What the sizes before each one add up to.
+
+    An array grows by copying, so the sums of blocks of ``FOLD`` are run over first and then each block by itself.
+    """
+    empty = F.array().cast("array<bigint>")
+    firsts = F.when(F.size(sizes) > 0, F.sequence(F.lit(0), F.size(sizes) - 1, F.lit(FOLD))).otherwise(F.array().cast("array<int>"))
+    places = lambda first: F.sequence(first, F.least(first + FOLD, F.size(sizes)) - 1)
+
+    def run(at: Column, values: Column) -> Column:
+        start = F.struct(at.cast("bigint").alias("at"), empty.alias("out"))
+        return F.aggregate(values, start, lambda acc, x: F.struct(
+            (acc.getField("at") + x).cast("bigint").alias("at"), F.array_append(acc.getField("out"), acc.getField("at")).cast("array<bigint>").alias("out"),
+        )).getField("out")
+
+    sums = F.transform(firsts, lambda f: F.aggregate(places(f), F.lit(0).cast("bigint"), lambda acc, i: (acc + F.get(sizes, i)).cast("bigint")))
+    inner = lambda base: F.flatten(F.transform(firsts, lambda f, k: run(F.get(base, k), F.transform(places(f), lambda i: F.get(sizes, i)))))
+    return _named(run(F.lit(0), sums), inner)
+
+
 def _spans(text: Column, kind: Kind) -> Column:
     """All confirmed spans of one kind in reading order."""
-    pattern = F.lit(kind.pattern)
-    found = F.struct(F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"), F.split(text, kind.pattern, -1).alias("gap"))
+    found = F.struct(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hit"), F.split(text, kind.pattern, -1).alias("gap"))
     bonus = F.lit(0.3)
 
     def score(before: Column, after: Column) -> Column:
@@ -90,28 +117,24 @@ def _spans(text: Column, kind: Kind) -> Column:
 
     def place(one: Column) -> Column:
         hit, gap = one.getField("hit"), one.getField("gap")
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
-
-        def step(acc: Column, i: Column) -> Column:
-            value = F.get(hit, i)
-            begin = acc.getField("at") + F.char_length(F.get(gap, i))
-            end = begin + F.char_length(value)
-            span = F.struct(
-                F.lit(kind.name).alias("kind"), begin.cast("long").alias("start"), end.cast("long").alias("end"), value.alias("value"),
-                score(F.get(gap, i), F.get(gap, i + 1)).alias("score"),
+        size = lambda value, i: (F.char_length(F.get(gap, i)) + F.char_length(value)).cast("bigint")
+        return _named(F.transform(hit, size), lambda sizes: _named(_before(sizes), lambda ends: spans(hit, gap, ends)))
+
+    def spans(hit: Column, gap: Column, before: Column) -> Column:
+        def span(value: Column, i: Column) -> Column:
+            begin = F.get(before, i) + F.char_length(F.get(gap, i))
+            return F.struct(
+                F.lit(kind.name).alias("kind"), begin.alias("start"), (begin + F.char_length(value)).cast("long").alias("end"),
+                value.alias("value"), score(F.get(gap, i), F.get(gap, i + 1)).alias("score"),
             )
-            ok = F.coalesce(kind.check(value), F.lit(False)) if kind.check else F.lit(True)
-            if not kind.base:
-                ok = ok & (span.getField("score") >= THRESHOLD)
-            kept = F.when(ok, F.array_append(acc.getField("out"), span)).otherwise(acc.getField("out"))
-            return F.struct(end.cast("long").alias("at"), kept.cast(SPAN).alias("out"))
-
-        steps = F.when(F.size(hit) > 0, F.sequence(F.lit(0), F.size(hit) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, start, step).getField("out")
-
-    # One element, so that the cut text is bound to a name and made once.
-    cut = F.transform(F.array(found), place)
-    return F.when(text.rlike(kind.needs), F.element_at(cut, 1)).otherwise(F.array().cast(SPAN))
+
+        def confirmed(found: Column) -> Column:
+            ok = F.coalesce(kind.check(found.getField("value")), F.lit(False)) if kind.check else F.lit(True)
+            return ok if kind.base else ok & (found.getField("score") >= THRESHOLD)
+
+        return F.filter(F.transform(hit, span), confirmed).cast(SPAN)
+
+    return F.when(text.rlike(kind.needs), _named(found, place)).otherwise(F.array().cast(SPAN))
 
 
 def find_pii(df: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
