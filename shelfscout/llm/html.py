@@ -2,11 +2,13 @@
 
 A page is cut into blocks of text. A classifier gives each block the cost of calling it content or boilerplate; these are the
 capacities to the two terminals of a graph whose other edges join neighbouring blocks, the heavier the closer they are in the
-tree. The minimum cut, found by augmenting paths, is the labelling of least cost.
+tree, and each block to the next one of the same parent, whatever stands between. The minimum cut, found by blocking flows over
+breadth-first levels, is the labelling of least cost.
 
 The classifier is a logistic model on the shape of a block (length, links, punctuation, stop signs, its place), fitted on a bounded sample of
 pages (``SAMPLE_PAGES``) whose markup names the role of their blocks, plus fixed costs for what tags and their
-names say. Where a tag leaves no doubt (scripts, menus, forms and the like) the cost is beyond any cut.
+names say. Where a tag leaves no doubt (scripts, menus and the like) the cost is beyond any cut. A form, and an element whose name tells of
+something other than comments, counts as boilerplate only while it holds less than half of the page's text: larger ones wrap the page.
 
 Defined results: a NULL or blank page has an empty text; markup that never closes ends with the page; an unclosed paragraph ends where the
 next block starts; line breaks are white space within a block; repeated rows are extracted alike; an empty table gives an empty one.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +39,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object select button audio video".split())
-NEVER = frozenset("nav footer aside form menu dialog fieldset address".split())
+NEVER = frozenset("nav footer aside menu dialog address".split())
+FORMS = frozenset("form fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 # Words in class, id or role that tell what a block is.
 BAD_NAMES = re.compile(
@@ -45,58 +50,146 @@ BAD_NAMES = re.compile(
     r"search|share|sharing|sidebar\w*|side|skip\w*|social\w*|sponsor\w*|subscribe|subscription|tags|toolbar|top-?bar|widget\w*)(?=$|[\s_-])",
     re.I,
 )
+COMMENT_NAMES = re.compile(r"(?:^|\s)(?:comments?(?:[_-]\w+)*|disqus\w*|repl(?:y|ies))(?=$|\s)", re.I)
+# A name that only says what else stands on the page.
+ABOUT_OTHERS = re.compile(r"(?:^|(?<=\s))(?:with|without|no|has|is|not)[_-]\S*", re.I)
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|body|content|entry|main|page|post|story|text)(?=$|[\s_-])", re.I)
 
 SURE, TOLD = 50.0, 3.0
-NEAR, FAR = 1.2, 0.25
+NEAR, FAR, ACROSS = 1.2, 0.25, 0.6
+FEATURES = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|([^<]+|<)",
     re.S,
 )
-_NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 _STOPS = re.compile(r"[.,;:!?]")
 _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I) for name in RAW}
 
 
 class Block:
-    __slots__ = ("text", "path", "linked", "cost", "inside", "heading")
-
-    def __init__(self, text: str, path: tuple, linked: int, cost: float, inside: bool, heading: bool):
-        self.text, self.path, self.linked = text, path, linked
-        self.cost, self.inside, self.heading = cost, inside, heading
+    __slots__ = ("text", "home", "linked", "cost", "heading")
+
+    def __init__(self, text: str, home: int, linked: int, heading: bool):
+        # The place of the block element it stands in, -1 outside of all.
+        self.text, self.home, self.linked, self.heading = text, home, linked, heading
+        self.cost = 0.0
+
+
+class Element:
+    __slots__ = ("name", "parent", "sure", "wide", "size", "block", "inside", "heading")
+
+    def __init__(self, name: str, parent: int, above: Element | None):
+        self.name, self.parent, self.size = name, parent, 0
+        # What it says about all in it, and what it says unless it holds half of the page.
+        self.sure = self.wide = 0.0
+        self.block = name in BLOCKS
+        self.inside = bool(above and above.inside)
+        self.heading = name in HEADINGS or bool(above and above.heading)
+
+
+class Page:
+    """Blocks in page order with what the markup around them says (positive cost: boilerplate), and the tree of block elements."""
+
+    def __init__(self, blocks: list[Block], up: list[int], depth: list[int]):
+        self.blocks, self.up, self.depth = blocks, up, depth
+
+    def steps(self, a: int, b: int) -> int:
+        """Steps in the tree from one element to the other."""
+        up, depth, n = self.up, lambda e: self.depth[e] if e >= 0 else 0, 0
+        while a != b:
+            if depth(a) >= depth(b):
+                a = up[a]
+            else:
+                b = up[b]
+            n += 1
+        return n
+
+    def edges(self) -> list[tuple[int, int, float]]:
+        out, last = [], {}
+        for i, block in enumerate(self.blocks):
+            parent = self.up[block.home] if block.home >= 0 else -1
+            if i:
+                out.append((i - 1, i, NEAR / max(1, self.steps(self.blocks[i - 1].home, block.home) - 1) + FAR))
+                if last.get(parent, i - 1) < i - 1:
+                    out.append((last[parent], i, ACROSS))
+            last[parent] = i
+        return out
+
+
+def attributes(inner: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(inner):
+        if name:
+            out.setdefault(name.lower(), next(filter(None, values), ""))
+    return out
 
 
-def blocks_of(page: str | None) -> list[Block]:
-    """Blocks in page order with what the markup around them says (positive cost: boilerplate)."""
+def _told(element: Element, inner: str) -> None:
+    """Sets what the tag says about its content."""
+    name = element.name
+    told = attributes(inner) if inner.strip(" /") else {}
+    if name in NEVER or "hidden" in told or told.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(told.get("style", "")):
+        element.sure += SURE
+    elif name == "header" and not element.inside:
+        element.sure += SURE
+    elif name in FORMS:
+        element.wide += SURE
+    if name in ("article", "main"):
+        element.sure, element.inside = element.sure - TOLD, True
+    label = " ".join(filter(None, (told.get(x) for x in ("class", "id", "role"))))
+    if not label or name in ("body", "html", "article", "main"):
+        return
+    label = ABOUT_OTHERS.sub("", label)
+    said = BAD_NAMES.search(label)
+    # The header of an article is part of it.
+    if COMMENT_NAMES.search(label):
+        element.sure += 4 * TOLD
+    elif said and not (element.inside and said.group().strip(" _-").lower() == "header"):
+        element.wide += 4 * TOLD
+    elif GOOD_NAMES.search(label):
+        element.sure -= TOLD
+
+
+def parsed(page: str | None) -> Page:
     page = page or ""
     out: list[Block] = []
-    # Open elements: name, number, cost so far, inside an article.
-    stack: list[tuple[str, int, float, bool]] = []
+    elements: list[Element] = []
+    # Where each block stands, open elements, how many of each name are open.
+    places: list[int] = []
+    stack: list[int] = []
+    opened: Counter[str] = Counter()
     words: list[str] = []
-    linked, count, anchors, at = 0, 0, 0, 0
+    linked, at = 0, 0
 
     def flush() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", "".join(words)).strip()
         if text:
-            cost, inside = (stack[-1][2], stack[-1][3]) if stack else (0.0, False)
-            names = [e[0] for e in stack]
-            heading = any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n in names)
-            path = tuple(e[1] for e in stack if e[0] in BLOCKS)
-            out.append(Block(text, path, min(linked, len(text)), cost, inside, heading))
+            top = stack[-1] if stack else -1
+            places.append(top)
+            out.append(Block(text, -1, min(linked, len(text)), top >= 0 and elements[top].heading))
+            if top >= 0:
+                elements[top].size += len(text)
         words.clear()
         linked = 0
 
+    def close(depth: int) -> None:
+        for e in stack[depth:]:
+            opened[elements[e].name] -= 1
+        del stack[depth:]
+
     while (found := _TOKEN.match(page, at)) is not None and at < len(page):
         at = found.end()
         closing, name, inner, plain = found.groups()
         if plain is not None:
             text = references.unescape(plain)
             words.append(text)
-            if anchors:
+            if opened["a"]:
                 linked += len(text)
             continue
         if name is None:
@@ -108,12 +201,14 @@ def blocks_of(page: str | None) -> list[Block]:
             # All that can stand in a head is raw or void; anything else ends it, closed or not.
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name in BLOCKS:
                 flush()
-            if depth is not None and (name in BLOCKS or not any(e[0] in BLOCKS for e in stack[depth + 1 :])):
-                anchors -= sum(e[0] == "a" for e in stack[depth:])
-                del stack[depth:]
+            if opened[name]:
+                depth = len(stack) - 1
+                while elements[stack[depth]].name != name and (name in BLOCKS or not elements[stack[depth]].block):
+                    depth -= 1
+                if elements[stack[depth]].name == name:
+                    close(depth)
             continue
         if name in RAW:
             if not inner.rstrip().endswith("/"):
@@ -127,32 +222,44 @@ def blocks_of(page: str | None) -> list[Block]:
             if name in CLOSES_P:
                 # A new block ends an open paragraph or item of the same list, with what was left open in it.
                 same = {"p"} | ({name} if name in ("li", "td", "th", "tr", "dd", "dt", "option") else set())
-                limit = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCKS), -1)
-                if limit >= 0 and stack[limit][0] in same:
-                    anchors -= sum(e[0] == "a" for e in stack[limit:])
-                    del stack[limit:]
+                limit = len(stack) - 1
+                while limit >= 0 and not elements[stack[limit]].block:
+                    limit -= 1
+                if limit >= 0 and elements[stack[limit]].name in same:
+                    close(limit)
         if name in VOID or inner.rstrip().endswith("/"):
             continue
-        cost, inside = (stack[-1][2], stack[-1][3]) if stack else (0.0, False)
-        if name in NEVER or _HIDDEN.search(inner):
-            cost += SURE
-        elif name == "header" and not inside:
-            cost += SURE
-        label = " ".join(filter(None, (x for m in _NAMES.findall(inner) for x in m))) if "=" in inner else ""
-        if name in ("article", "main"):
-            cost, inside = cost - TOLD, True
-        if label and name not in ("body", "html", "article", "main"):
-            said = BAD_NAMES.search(label)
-            # The header of an article is part of it.
-            if said and not (inside and said.group().strip(" _-").lower() == "header"):
-                cost += 4 * TOLD
-            elif GOOD_NAMES.search(label):
-                cost -= TOLD
-        count += 1
-        anchors += name == "a"
-        stack.append((name, count, cost, inside))
+        parent = stack[-1] if stack else -1
+        element = Element(name, parent, elements[parent] if parent >= 0 else None)
+        _told(element, inner)
+        opened[name] += 1
+        stack.append(len(elements))
+        elements.append(element)
     flush()
-    return out
+    # An element stands before all in it.
+    total = sum(len(b.text) for b in out)
+    for element in reversed(elements):
+        if element.parent >= 0:
+            elements[element.parent].size += element.size
+    costs: list[float] = []
+    up, depth, home = [], [], []
+    for element in elements:
+        wide = 0.0 if 2 * element.size >= total else element.wide
+        costs.append((costs[element.parent] if element.parent >= 0 else 0.0) + element.sure + wide)
+        above = home[element.parent] if element.parent >= 0 else -1
+        if element.block:
+            up.append(above)
+            depth.append(depth[above] + 1 if above >= 0 else 1)
+            above = len(up) - 1
+        home.append(above)
+    for block, place in zip(out, places):
+        if place >= 0:
+            block.cost, block.home = costs[place], home[place]
+    return Page(out, up, depth)
+
+
+def blocks_of(page: str | None) -> list[Block]:
+    return parsed(page).blocks
 
 
 def features(blocks: list[Block]) -> np.ndarray:
@@ -162,9 +269,9 @@ def features(blocks: list[Block]) -> np.ndarray:
         words = b.text.count(" ") + 1
         rows.append(
             (1.0, math.log1p(words) / 5, b.linked / size, len(_STOPS.findall(b.text)) / words, size / words / 10,
-             b.text[-1] in ".!?…", b.heading, i / len(blocks), (i == 0) + (i == len(blocks) - 1))
+             b.text[-1] in ".!?…", b.heading, i / len(blocks))
         )
-    return np.array(rows, float).reshape(len(rows), 9)
+    return np.array(rows, float).reshape(len(rows), FEATURES)
 
 
 def fit_blocks(pages: list[str], steps: int = 300, rate: float = 0.5) -> np.ndarray:
@@ -175,9 +282,9 @@ def fit_blocks(pages: list[str], steps: int = 300, rate: float = 0.5) -> np.ndar
         told = [i for i, b in enumerate(blocks) if abs(b.cost) >= TOLD]
         x.append(features(blocks)[told])
         y += [blocks[i].cost < 0 for i in told]
-    rows = np.concatenate([np.empty((0, 9)), *x])
+    rows = np.concatenate([np.empty((0, FEATURES)), *x])
     truth = np.array(y, float)
-    weights = np.zeros(9)
+    weights = np.zeros(FEATURES)
     if len(rows) and 0 < truth.sum() < len(truth):
         # Both classes weigh the same.
         share = np.where(truth > 0, 0.5 / truth.sum(), 0.5 / (len(truth) - truth.sum()))
@@ -198,53 +305,66 @@ def least_cut(content: list[float], boilerplate: list[float], edges: list[tuple[
         room[j][i] = room[j].get(i, 0.0) + c
     tiny = 1e-9
     while True:
-        # Breadth-first from all blocks with flow left from the source to one with room to the sink.
-        back = {i: -1 for i in range(n) if left[i] > tiny}
-        queue, end = list(back), -1
+        # Levels by breadth from all blocks with flow left from the source.
+        level = [-1] * n
+        queue = [i for i in range(n) if left[i] > tiny]
+        sources = list(queue)
+        for i in queue:
+            level[i] = 0
+        ends = False
         for i in queue:
-            if left[i] < -tiny:
-                end = i
-                break
+            ends = ends or left[i] < -tiny
             for j, c in room[i].items():
-                if c > tiny and j not in back:
-                    back[j] = i
+                if c > tiny and level[j] < 0:
+                    level[j] = level[i] + 1
                     queue.append(j)
-        if end < 0:
+        if not ends:
             # What the source still reaches is content.
-            return [i in back for i in range(n)]
-        path, i = [end], end
-        while back[i] >= 0:
-            i = back[i]
-            path.append(i)
-        flow = min([left[i], -left[end], *(room[a][b] for a, b in zip(path[1:], path))])
-        left[i] -= flow
-        left[end] += flow
-        for a, b in zip(path[1:], path):
-            room[a][b] -= flow
-            room[b][a] += flow
+            return [x >= 0 for x in level]
+        # A blocking flow: each edge is looked at once, unless flow goes through it.
+        nexts = [list(r) for r in room]
+        for source in sources:
+            path = [source]
+            while path and left[source] > tiny:
+                i = path[-1]
+                if left[i] < -tiny:
+                    flow = min([left[source], -left[i], *(room[a][b] for a, b in zip(path, path[1:]))])
+                    left[source] -= flow
+                    left[i] += flow
+                    for a, b in zip(path, path[1:]):
+                        room[a][b] -= flow
+                        room[b][a] += flow
+                    # Back to where the path is full.
+                    full = next((k for k, (a, b) in enumerate(zip(path, path[1:])) if room[a][b] <= tiny), len(path) - 1)
+                    del path[full + 1 :]
+                    continue
+                while nexts[i] and not (level[nexts[i][-1]] == level[i] + 1 and room[i][nexts[i][-1]] > tiny):
+                    nexts[i].pop()
+                if nexts[i]:
+                    path.append(nexts[i][-1])
+                else:
+                    path.pop()
+                    if path:
+                        nexts[path[-1]].pop()
 
 
 def main_text(page: str | None, weights: np.ndarray) -> str:
-    blocks = blocks_of(page)
+    whole = parsed(page)
+    blocks = whole.blocks
     if not blocks:
         return ""
     odds = np.clip(features(blocks) @ weights, -6, 6)
     costs = [b.cost - float(o) for b, o in zip(blocks, odds)]
-    edges = []
-    for i in range(len(blocks) - 1):
-        a, b = blocks[i].path, blocks[i + 1].path
-        common = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-        steps = len(a) + len(b) - 2 * common
-        edges.append((i, i + 1, NEAR / max(1, steps - 1) + FAR))
-    labels = least_cut([max(c, 0.0) for c in costs], [max(-c, 0.0) for c in costs], edges)
+    labels = least_cut([max(c, 0.0) for c in costs], [max(-c, 0.0) for c in costs], whole.edges())
     return "\n".join(b.text for b, kept in zip(blocks, labels) if kept)
 
 
 def classifier(pages: DataFrame, html: str = "html", sample: int = SAMPLE_PAGES) -> np.ndarray:
-    """Weights fitted on about ``sample`` pages picked by hash."""
+    """Weights fitted on about ``sample`` pages picked by hash; repeats of a page are picked one by one."""
     total = pages.count()
     share = min(1.0, sample / total) if total else 1.0
-    picked = pages.where(F.pmod(F.xxhash64(named(html)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    row = F.xxhash64(*[named(f.name) for f in pages.schema.fields if isinstance(f.dataType, T.AtomicType)])
+    picked = pages.where(F.pmod(row, F.lit(1 << 53)) < F.lit(int(share * (1 << 53)))).select(named(html).alias("html"), row.alias("row"))
 
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = [t for batch in batches for t in batch["html"] if t]
@@ -253,9 +373,9 @@ def classifier(pages: DataFrame, html: str = "html", sample: int = SAMPLE_PAGES)
             yield pd.DataFrame({"n": [len(texts)], "weights": [weights]})
 
     # Every task fits its share of the sample; the mean by pages is the model.
-    parts = picked.select(named(html).alias("html")).repartition(4, "html").mapInPandas(fitted, "n long, weights array<double>").collect()
+    parts = picked.repartition(4, "row").select("html").mapInPandas(fitted, "n long, weights array<double>").collect()
     if not parts:
-        return np.zeros(9)
+        return np.zeros(FEATURES)
     sizes = np.array([p["n"] for p in parts], float)
     return np.average(np.array([p["weights"] for p in parts]), axis=0, weights=sizes)
 

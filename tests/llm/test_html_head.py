@@ -15,4 +15,4 @@ BODY = "<article><p>The first sentence of the main text.</p><p>And the second on
     "<html><HEAD lang=en><style>p{}</style><noscript>no</noscript><body>", "<head>",
 ])
 def test_main_text_after_the_head(start):
-    assert html.main_text(start + BODY, np.zeros(9)) == "The first sentence of the main text.\nAnd the second one, as long."
+    assert html.main_text(start + BODY, np.zeros(html.FEATURES)) == "The first sentence of the main text.\nAnd the second one, as long."
