@@ -36,6 +36,12 @@ def comparison(rates: DataFrame) -> DataFrame:
     return rates.groupBy("system", "config").agg(*cells)
 
 
+def series(rates: DataFrame) -> DataFrame:
+    """Rates whose configurations read ``sweep=setting`` as ``(sweep, setting, k, hit_rate)``."""
+    name = F.split("config", "=")
+    return rates.select(name[0].alias("sweep"), name[1].cast("double").alias("setting"), "k", "hit_rate")
+
+
 def headline(table: DataFrame) -> DataFrame:
     """The comparison with only the best hybrid kept; configurations are few, so the window is small."""
     order = Window.partitionBy("system").orderBy(F.desc("hr_10"), F.asc("config"))

@@ -28,7 +28,7 @@ ITEM_BLOCK = 4096
 
 @dataclass(frozen=True)
 class Blend:
-    """Weighted sum of two models, each scaled by the extremes of its scores; one model when ``alpha`` is None.
+    """Weighted sum of the first two models, each scaled by the extremes of its scores; model ``only`` when ``alpha`` is None.
 
     With both, the score is alpha * first + (1 - alpha) * second.
     """
@@ -36,6 +36,7 @@ class Blend:
     name: str
     alpha: float | None = None
     extremes: tuple[float, float, float, float] = (0.0, 1.0, 0.0, 1.0)
+    only: int = 0
 
     def scaled(self, first, second):
         """Both scores brought to 0..1; works on columns and on arrays alike."""
@@ -190,7 +191,7 @@ def _hidden(batch: pa.RecordBatch, row: int, ids: pa.Array) -> tuple[np.ndarray,
 
 
 def _both(products: list[np.ndarray], blend: Blend) -> tuple[np.ndarray, np.ndarray | None]:
-    return (products[0], None) if blend.alpha is None else blend.scaled(products[0], products[1])
+    return (products[blend.only], None) if blend.alpha is None else blend.scaled(products[0], products[1])
 
 
 def heldout_ranks(scorer: Scorer, blends: Sequence[Blend]) -> DataFrame:
@@ -211,7 +212,7 @@ def heldout_ranks(scorer: Scorer, blends: Sequence[Blend]) -> DataFrame:
                 earlier = np.arange(first, first + n_items)[None, :] < place
                 shared: dict = {}
                 for number, blend in enumerate(blends):
-                    kind = None if blend.alpha is None else blend.extremes
+                    kind = blend.only if blend.alpha is None else blend.extremes
                     if kind not in shared:
                         shared[kind] = (_both(products, blend), _both(held, blend))
                     scores, target = (blend.mixed(*pair_) for pair_ in shared[kind])

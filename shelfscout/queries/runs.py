@@ -97,14 +97,16 @@ def recommendation_run(spark, folder):
       UNION ALL (SELECT 'top_items', name, count(*) FROM enriched GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 15)
       UNION ALL (SELECT 'vote_rates', name, round(r, 6) + 0.0 FROM (SELECT name, avg(voted_up::INT) * 100 AS r, count(*) AS n FROM enriched
         GROUP BY name ORDER BY n DESC, name LIMIT 15))
+      UNION ALL (WITH q AS (SELECT quantile_cont(playtime::DOUBLE, 0.99) AS cap, min(playtime)::DOUBLE AS lo FROM enriched)
+        SELECT 'playtime', least(floor((least(playtime::DOUBLE, cap) - lo) / ((cap - lo) / 60)), 59)::INT::VARCHAR, count(*) FROM enriched, q GROUP BY 2)
       UNION ALL (SELECT 'top_genres', trim(genres), count(*) FROM enriched GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 15))""",
 )
 def eda_run(spark, folder):
     """The labelled tables of the exploratory report, one under the other."""
     report = run_eda(enriched(spark, folder))
-    shown = {"votes": ("label", "n"), "raw_votes": ("vote", "n"), "top_items": ("name", "n"), "vote_rates": ("name", "rate"), "top_genres": ("genre", "n")}
+    shown = {"votes": ("label", "n"), "raw_votes": ("vote", "n"), "playtime": ("bin", "n"), "top_items": ("name", "n"), "vote_rates": ("name", "rate"), "top_genres": ("genre", "n")}
     parts = [
-        report[name].select(F.lit(name).alias("report"), F.col(label).alias("label"), S.rounded(F.col(value).cast("double")).alias("value"))
+        report[name].select(F.lit(name).alias("report"), F.col(label).cast("string").alias("label"), S.rounded(F.col(value).cast("double")).alias("value"))
         for name, (label, value) in shown.items()
     ]
     out = parts[0]
