@@ -9,8 +9,10 @@ is left at once, then each block of items by its own maxima, and only items of o
 A hit holds ``CONTAINMENT`` of the item's shingles of five words, half of the question's and half of the answer's words.
 The answer of an item is its last sentence, or the last third of its words when it has one sentence only.
 
-Passages are windows of three times the longest item, half of it apart, so any run of one and a half item
-lengths lies in one passage whole. Items come in slices of up to ``SLICE_ITEMS``, each indexed and broadcast by itself.
+Items fall into classes by their number of words, up to 16, 64, 256 and so on. Passages are windows of three times the bound of the
+class, half of it apart, so any run of one and a half item lengths lies in one passage whole, and whether a text holds an item depends
+on these two alone. Items come in slices of up to ``SLICE_ITEMS`` and about ``SLICE_CHARS``, each indexed and broadcast by itself; only
+the reported score depends on the other items of the slice, by its word weights.
 
 Defined results: NULL or blank texts and items match nothing; items shorter than a shingle must occur whole;
 repeated items and rows are reported each; empty tables give an empty result.
@@ -19,7 +21,8 @@ repeated items and rows are reported each; empty tables give an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -34,6 +37,9 @@ PART_OVERLAP = 0.5
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 4
 SLICE_ITEMS = 2000
+SLICE_CHARS = 4 << 20
+# The least class of items ends at so many words, each further one at so many times the one before.
+CLASS_WORDS, CLASS_GROWTH = 16, 4
 
 HIT = T.ArrayType(
     T.StructType(
@@ -81,52 +87,32 @@ def overlaps(item: Index.Item, words: Sequence[str]) -> tuple[float, float, floa
     return share(item.shingles, there), share(shingles(item.question), there), share(item.answer, single)
 
 
-class Index:
-    """Inverted index of a slice of items with block maxima; weights are divided by each item's threshold."""
+def class_bound(words: int) -> int:
+    """The greatest number of words in the class of an item."""
+    bound = CLASS_WORDS
+    while bound < words:
+        bound *= CLASS_GROWTH
+    return bound
 
-    class Item:
-        def __init__(self, text: str):
-            self.words, self.shingles = words_of(text), shingles(words_of(text))
-            self.question, self.answer = split_item(text)
 
-    def __init__(self, texts: Sequence[str]):
-        items = [(n, Index.Item(t)) for n, t in enumerate(texts)]
-        # Items of like length share a block, so that its maxima are close to each of them.
-        self.items = sorted(((n, i) for n, i in items if i.words), key=lambda x: len(x[1].words))
-        count = len(self.items)
-        self.vocabulary: dict[str, int] = {}
-        held: dict[str, int] = {}
-        for _, item in self.items:
-            for word in set(item.words):
-                self.vocabulary.setdefault(word, len(self.vocabulary))
-                held[word] = held.get(word, 0) + 1
-        mean = sum(len(i.words) for _, i in self.items) / max(1, count)
-        self.longest = max((len(i.words) for _, i in self.items), default=1)
-        blocks = -(-count // BLOCK_ITEMS)
-        self.block_max = np.zeros((len(self.vocabulary), blocks))
-        rows: list[tuple[int, int, float]] = []
-        for place, (_, item) in enumerate(self.items):
-            tf: dict[str, int] = {}
-            for word in item.words:
-                tf[word] = tf.get(word, 0) + 1
-            norm = K1 * (1 - B + B * len(item.words) / mean)
-            weight = {
-                w: np.log1p((count - held[w] + 0.5) / (held[w] + 0.5)) * n * (K1 + 1) / (n + norm) for w, n in tf.items()
-            }
-            heavy = sorted(weight.values(), reverse=True)
-            missing = int((1 - CONTAINMENT) * len(item.shingles) + 1e-9)
-            # A word that is gone takes a shingle with it at least, so so many of the heaviest may be gone.
-            need = max(sum(heavy[missing:]), heavy[-1]) * (1 - 1e-9)
-            for word, value in weight.items():
-                term = self.vocabulary[word]
-                rows.append((term, place, value / need))
-                cell = self.block_max[term, place // BLOCK_ITEMS]
-                self.block_max[term, place // BLOCK_ITEMS] = max(cell, value / need)
-        rows.sort()
-        terms = np.array([r[0] for r in rows], np.int64)
-        self.starts = np.searchsorted(terms, np.arange(len(self.vocabulary) + 1))
+class Group:
+    """The postings of the items of one class; terms are numbered by the index."""
+
+    def __init__(self, items: list[tuple[int, Index.Item, dict[int, float]]], bound: int, terms: int):
+        self.items = [(n, item) for n, item, _ in items]
+        # Half a window.
+        self.step = -(-3 * bound // 2)
+        rows = sorted((term, place, value) for place, (_, _, weight) in enumerate(items) for term, value in weight.items())
+        held = np.array([r[0] for r in rows], np.int64)
         self.places = np.array([r[1] for r in rows], np.int64)
         self.weights = np.array([r[2] for r in rows])
+        # Terms of the class, in order, and where the postings of each start.
+        self.own, self.starts = np.unique(held, return_index=True)
+        self.starts = np.append(self.starts, len(rows))
+        self.place_of = np.full(terms, -1, np.int64)
+        self.place_of[self.own] = np.arange(len(self.own))
+        self.block_max = np.zeros((len(self.own), -(-len(items) // BLOCK_ITEMS)))
+        np.maximum.at(self.block_max, (self.place_of[held], self.places // BLOCK_ITEMS), self.weights)
         self.term_max = self.block_max.max(axis=1, initial=0)
 
     def score(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,47 +128,92 @@ class Index:
         found = np.flatnonzero(scores >= 1)
         return found, scores[found]
 
-    def hits(self, text: str | None) -> list[dict]:
-        """Verified items of a text, each with its best passage."""
-        words = words_of(text)
-        step = -(-3 * self.longest // 2)
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
-        at = np.flatnonzero(ids >= 0)
+    def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Passages by their first word, with the items retrieved for each, for the terms of a text (-1: none)."""
+        terms = np.where(ids >= 0, self.place_of[ids], -1)
+        at = np.flatnonzero(terms >= 0)
         if not len(at):
-            return []
+            return
         # A passage is two neighbouring half windows: its bound is at most the sum of theirs.
-        size = len(self.vocabulary)
-        half = np.unique((at // step) * size + ids[at])
+        size = len(self.own)
+        half = np.unique((at // self.step) * size + terms[at])
         owner, term = half // size, half % size
-        halves = -(-len(words) // step)
+        halves = -(-len(ids) // self.step)
         bound = np.bincount(owner, self.term_max[term], halves)
         passages = max(1, halves - 1)
         either = bound + np.append(bound[1:], 0.0)
         edges = np.searchsorted(owner, np.arange(halves + 1))
-        best: dict[int, tuple] = {}
         for p in np.flatnonzero(either[:passages] >= 1):
             distinct = np.unique(term[edges[p] : edges[min(p + 2, halves)]])
             if self.term_max[distinct].sum() < 1:
                 continue
             places, scores = self.score(distinct)
-            part = words[p * step : (p + 2) * step] if len(places) else ()
-            for place, score in zip(places, scores):
-                n, item = self.items[place]
-                whole, question, answer = overlaps(item, part)
-                if whole >= CONTAINMENT - 1e-9 and question >= PART_OVERLAP and answer >= PART_OVERLAP:
-                    best[n] = max(best.get(n, ()), (whole, question, answer, float(score)))
+            if len(places):
+                yield int(p) * self.step, places, scores
+
+
+class Index:
+    """Inverted index of a slice of items with block maxima; weights are divided by each item's threshold."""
+
+    class Item:
+        def __init__(self, text: str):
+            self.words, self.shingles = words_of(text), shingles(words_of(text))
+            self.question, self.answer = split_item(text)
+
+    def __init__(self, texts: Sequence[str]):
+        items = [(n, item) for n, item in enumerate(map(Index.Item, texts)) if item.words]
+        # Items of like length share a block, so that its maxima are close to each of them.
+        items.sort(key=lambda x: len(x[1].words))
+        self.vocabulary: dict[str, int] = {}
+        held: dict[str, int] = {}
+        for _, item in items:
+            for word in set(item.words):
+                self.vocabulary.setdefault(word, len(self.vocabulary))
+                held[word] = held.get(word, 0) + 1
+        mean = sum(len(i.words) for _, i in items) / max(1, len(items))
+        by_class: dict[int, list] = {}
+        for n, item in items:
+            norm = K1 * (1 - B + B * len(item.words) / mean)
+            weight = {
+                w: np.log1p((len(items) - held[w] + 0.5) / (held[w] + 0.5)) * tf * (K1 + 1) / (tf + norm)
+                for w, tf in Counter(item.words).items()
+            }
+            heavy = sorted(weight.values(), reverse=True)
+            missing = int((1 - CONTAINMENT) * len(item.shingles) + 1e-9)
+            # A word that is gone takes a shingle with it at least, so so many of the heaviest may be gone.
+            need = max(sum(heavy[missing:]), heavy[-1]) * (1 - 1e-9)
+            scaled = {self.vocabulary[w]: value / need for w, value in weight.items()}
+            by_class.setdefault(class_bound(len(item.words)), []).append((n, item, scaled))
+        self.groups = [Group(of, bound, len(self.vocabulary)) for bound, of in by_class.items()]
+
+    def hits(self, text: str | None) -> list[dict]:
+        """Verified items of a text, each with its best passage."""
+        words = words_of(text)
+        ids = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
+        best: dict[int, tuple] = {}
+        for group in self.groups if (ids >= 0).any() else ():
+            for first, places, scores in group.candidates(ids):
+                part = words[first : first + 2 * group.step]
+                for place, score in zip(places, scores):
+                    n, item = group.items[place]
+                    whole, question, answer = overlaps(item, part)
+                    if whole >= CONTAINMENT - 1e-9 and question >= PART_OVERLAP and answer >= PART_OVERLAP:
+                        best[n] = max(best.get(n, ()), (whole, question, answer, float(score)))
         return [
             {"item": n, "score": s, "overlap": w, "question_overlap": q, "answer_overlap": a} for n, (w, q, a, s) in sorted(best.items())
         ]
 
 
-def slices(items: DataFrame, id_: str = "item_id", text: str = "text", rows: int = SLICE_ITEMS) -> list[tuple[list, list[str]]]:
+def slices(items: DataFrame, id_: str = "item_id", text: str = "text", rows: int = SLICE_ITEMS, chars: int = SLICE_CHARS) -> list[tuple[list, list[str]]]:
     """The test items in bounded slices of (ids, texts); a benchmark is a file people wrote, but its size is not trusted."""
     kept = items.select(named(id_).alias("id"), named(text).alias("text")).where("text IS NOT NULL")
     out: list[tuple[list, list[str]]] = []
+    size = 0
     for row in kept.toLocalIterator():
-        if not out or len(out[-1][0]) == rows:
+        if not out or len(out[-1][0]) == rows or size >= chars:
             out.append(([], []))
+            size = 0
+        size += len(row["text"])
         out[-1][0].append(row["id"])
         out[-1][1].append(row["text"])
     return out
