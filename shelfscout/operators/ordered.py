@@ -3,19 +3,22 @@
 A window without partitions, or one over a group that owns a third of the rows, ends in one task. Here the
 rows are range-sorted over the whole cluster instead, written once, and each sorted part is shifted by the
 number of rows before it. Only one row per part (at most ``spark.sql.shuffle.partitions``) or per group and
-part goes through a window.
+part goes through a window. Quantiles need no sort: brackets around the wanted ranks are narrowed by counting.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfscout.session import spill
+from shelfscout.session import passing_tables, spill
 
-# Weighted value tables up to this many rows are aggregated directly; larger ones are range-sorted.
-DIRECT_QUANTILE_ROWS = 2_000_000
+# A bracket of a wanted rank is walked once it has so few rows, and cut into so many cells before.
+WALKED_ROWS = 4096
+CELLS = 4096
+_LARGEST = sys.float_info.max
 
 _PART_BITS = 33
 
@@ -64,65 +67,77 @@ def weighted_quantiles(
     value: str,
     weight: str,
     probabilities: Sequence[float],
-    direct_rows: int = DIRECT_QUANTILE_ROWS,
+    walked_rows: int = WALKED_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group of a (group, value, weight) table.
 
-    Returns ``(*group, prob, quantile)``. The table must be cheap to read more than once (see ``spill``).
+    Returns ``(*group, prob, quantile)``; a group without values has no row. Nothing is sorted as a whole: each wanted rank has a bracket,
+    at first all values of its group. A pass cuts the brackets into cells, adds up the weights per cell in the tasks, and leaves
+    the cell that holds the rank, until it has one value or at most ``walked_rows`` rows; those are gathered and walked. The table must be
+    cheap to read more than once (see ``spill``); a value may stand in several of its rows.
     """
-    probabilities = [float(p) for p in probabilities]
-    counts = counts.where(F.col(value).isNotNull()).select(
-        *group, F.col(value).cast("double").alias("_v"), F.col(weight).cast("long").alias("_w")
-    )
-    if counts.count() <= direct_rows:
-        # Bounded: the aggregate holds at most ``direct_rows`` values in all.
-        both = counts.groupBy(*group).agg(F.percentile("_v", F.lit(probabilities), F.col("_w")).alias("_q"))
-        pairs = F.arrays_zip(F.lit(probabilities).alias("prob"), F.col("_q").alias("quantile"))
-        return both.select(*group, F.explode(pairs).alias("_p")).select(*group, "_p.prob", "_p.quantile")
-    return _sorted_quantiles(counts, list(group), probabilities)
-
-
-def _sorted_quantiles(counts: DataFrame, group: list[str], probabilities: list[float]) -> DataFrame:
-    keys = group if group else ["_all"]
-    if not group:
-        counts = counts.withColumn("_all", F.lit(0))
-    held = _numbered(counts, [*keys, "_v"])
-    # One row per group and sorted part: a hot group has at most as many as there are parts.
-    per_part = held.groupBy(*keys, "_part").agg(F.sum("_w").alias("_n"))
-    in_group = Window.partitionBy(*keys)
-    running = in_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    spans = per_part.select(
-        *keys,
-        "_part",
-        "_n",
-        F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"),
-        F.sum("_n").over(in_group).alias("_total"),
-    )
+    group, spark = list(group), counts.sparkSession
+    # One struct as the key, in which a NULL equals a NULL.
+    key = F.struct(*([F.col(c) for c in group] or [F.lit(0)])).alias("_g")
+    rows = counts.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_v"), F.col(weight).cast("long").alias("_w"))
+    whole = rows.groupBy("_g").agg(
+        F.sum("_w").alias("_total"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_rows"), F.lit(0).cast("long").alias("_before")
+    )
     place = F.col("prob") * (F.col("_total") - 1)
-    wanted = (
-        spans.withColumn("prob", F.explode(F.lit(probabilities)))
-        .withColumn("_place", place)
-        .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_place"), F.ceil("_place")))))
-        .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
-        .select(*keys, "_part", "prob", "_place", "_rank", "_before")
-    )
-    # Only the parts that hold a wanted rank are walked, each within its own bounds.
-    touched = wanted.select(*keys, "_part", "_before").distinct()
-    walk = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    walked = (
-        held.join(touched, [*keys, "_part"])
-        .withColumn("_upto", F.col("_before") + F.sum("_w").over(walk))
-        .select(*keys, "_part", "_v", "_upto", (F.col("_upto") - F.col("_w")).alias("_from"))
-    )
-    found = walked.join(wanted.drop("_before"), [*keys, "_part"]).where(
-        (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_upto"))
-    )
-    ends = found.groupBy(*keys, "prob", "_place").agg(
-        F.min("_v").alias("_low"), F.max("_v").alias("_high")
-    )
+    wanted = whole.withColumn("prob", F.explode(F.lit([float(p) for p in probabilities]))).withColumn("_place", place).drop("_total")
+    wanted = wanted.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_place"), F.ceil("_place")))))
+    with passing_tables(spark) as lasting:
+        wanted, spread = lasting(wanted, "ranks"), True
+        wide = (F.col("_rows") > walked_rows) & (F.col("_low") < F.col("_high"))
+        while not wanted.where(wide).isEmpty():
+            wanted, spread = lasting(_narrowed(rows, wanted.where(wide), spread).unionByName(wanted.where(~wide)), "ranks"), False
+
+    many = wanted.where("_low < _high")
+    walk = Window.partitionBy("_g", "_before").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    walked = _inside(rows, many).withColumn("_upto", F.col("_before") + F.sum("_w").over(walk))
+    held = (F.col("_rank") >= F.col("_upto") - F.col("_w")) & (F.col("_rank") < F.col("_upto"))
+    found = walked.select("_g", "_before", "_v", "_w", "_upto").join(many, ["_g", "_before"]).where(held).select("_g", "prob", "_place", "_v")
+    found = found.unionByName(wanted.where("NOT (_low < _high)").select("_g", "prob", "_place", F.col("_low").alias("_v")))
+    ends = found.groupBy("_g", "prob", "_place").agg(F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     share = F.col("_place") - F.floor("_place")
-    return ends.select(
-        *group, "prob", (F.col("_low") * (1 - share) + F.col("_high") * share).alias("quantile")
+    between = F.when(share == 0, F.col("_least")).otherwise(F.col("_least") * (1 - share) + F.col("_most") * share)
+    return ends.select(*[F.col("_g").getField(c).alias(c) for c in group], "prob", between.alias("quantile"))
+
+
+def _inside(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows within the brackets of the wanted ranks; brackets of a group do not overlap."""
+    brackets = wanted.select("_g", "_low", "_high", "_before").distinct()
+    return rows.join(brackets, "_g").where((F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high")))
+
+
+def _narrowed(rows: DataFrame, wanted: DataFrame, spread: bool) -> DataFrame:
+    """The wanted ranks with the cell of their bracket that holds them; ``spread`` cuts by magnitude, else in equal widths.
+
+    The ends of a bracket are values of its own and fall into different cells of equal width, so every second pass at least makes it smaller.
+    """
+    low, high = F.greatest("_low", F.lit(-_LARGEST)), F.least("_high", F.lit(_LARGEST))
+
+    def scaled(x: Column) -> Column:
+        if spread:
+            return F.signum(x) * F.log1p(F.abs(x))
+        # Halved only where the width of the bracket is no number.
+        return F.when(high - low > _LARGEST, x / 2).otherwise(x)
+
+    width = scaled(high) - scaled(low)
+    cell = F.when(width > 0, F.least(F.floor((scaled(F.col("_v")) - scaled(low)) / width * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0))
+    cell = (
+        F.when(F.isnan("_v"), F.lit(CELLS + 1)).when(F.col("_v") > _LARGEST, F.lit(CELLS)).when(F.col("_v") < -_LARGEST, F.lit(-1)).otherwise(cell)
+    )
+    cells = _inside(rows, wanted).groupBy("_g", F.col("_before").alias("_outer"), cell.cast("int").alias("_cell")).agg(
+        F.sum("_w").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_rows")
+    )
+    # At most CELLS + 3 rows per bracket.
+    running = Window.partitionBy("_g", "_outer").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_start", F.col("_outer") + F.coalesce(F.sum("_n").over(running), F.lit(0)))
+    ranks = wanted.select("_g", "prob", "_place", "_rank", F.col("_before").alias("_outer"))
+    held = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n"))
+    return ranks.join(cells, ["_g", "_outer"]).where(held).select(
+        "_g", "_low", "_high", "_rows", F.col("_start").alias("_before"), "prob", "_place", "_rank"
     )
 
 

@@ -19,11 +19,11 @@ def skewed(spark):
     return spark.createDataFrame(rows, "g string, v double")
 
 
-@pytest.mark.parametrize("direct_rows", [10**6, 0])
-def test_quantiles_equal_numpy_on_both_paths(skewed, direct_rows):
+@pytest.mark.parametrize("walked_rows", [10**6, 20, 0])
+def test_quantiles_equal_numpy_however_far_brackets_are_narrowed(skewed, walked_rows):
     probabilities = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
     counts = ordered.value_counts(skewed, ["g"], "v")
-    found = ordered.weighted_quantiles(counts, ["g"], "v", "weight", probabilities, direct_rows).collect()
+    found = ordered.weighted_quantiles(counts, ["g"], "v", "weight", probabilities, walked_rows).collect()
     got = {(r["g"], r["prob"]): r["quantile"] for r in found}
     pdf = skewed.toPandas().dropna()
     want = {(g, p): np.quantile(part["v"], p) for g, part in pdf.groupby("g") for p in probabilities}
@@ -32,14 +32,42 @@ def test_quantiles_equal_numpy_on_both_paths(skewed, direct_rows):
         assert got[key] == pytest.approx(value, abs=1e-12), key
 
 
-@pytest.mark.parametrize("direct_rows", [10**6, 0])
-def test_quantile_of_all_rows(spark, direct_rows):
+@pytest.mark.parametrize("walked_rows", [10**6, 0])
+def test_quantile_of_all_rows(spark, walked_rows):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "v double")
     counts = ordered.value_counts(df, [], "v")
-    rows = ordered.weighted_quantiles(counts, [], "v", "weight", [0.25, 0.5, 0.99], direct_rows).collect()
+    rows = ordered.weighted_quantiles(counts, [], "v", "weight", [0.25, 0.5, 0.99], walked_rows).collect()
     assert sorted(r["quantile"] for r in rows) == pytest.approx([1.75, 2.5, 9.79])
 
 
+@pytest.mark.parametrize("walked_rows", [10**6, 3, 0])
+def test_quantiles_over_the_whole_range_of_doubles(spark, walked_rows):
+    """Both ends of the range, neighbours, subnormal and infinite values, rows that repeat a value, a NULL group."""
+    large, tiny = 1.7976931348623157e308, 5e-324
+    values = [-float("inf"), -large, -1e300, -1.0, -tiny, 0.0, tiny, 2 * tiny, 1e-300, 1.0, np.nextafter(1.0, 2), 1e17, 1e17 + 16, large, float("inf")]
+    rows = [(g, float(v), 1 + i % 3) for g in ("a", None) for i, v in enumerate(values * 2)]
+    df = spark.createDataFrame(rows, "g string, v double, n long")
+    flat = sorted(v for g, v, n in rows if g for _ in range(n))
+    ranks = range(0, len(flat), 3)
+    probabilities = [i / (len(flat) - 1) for i in ranks]
+    exact = [i for i, p in zip(ranks, probabilities) if (p * (len(flat) - 1)).is_integer()]
+    found = ordered.weighted_quantiles(df, ["g"], "v", "n", probabilities, walked_rows).collect()
+    for g in ("a", None):
+        got = {r["prob"]: r["quantile"] for r in found if r["g"] == g}
+        assert len(got) == len(probabilities)
+        assert [got[i / (len(flat) - 1)] for i in exact] == [flat[i] for i in exact]
+
+
+def test_narrowing_gathers_a_small_part(spark):
+    """Of 200,000 distinct values only the bracket of the median is left for the walk; nothing is range-sorted."""
+    df = spark.range(200_000).selectExpr("exp(id / 10000.0) AS v", "1 AS n")
+    found = ordered.weighted_quantiles(df, [], "v", "n", [0.5])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert found.first()["quantile"] == pytest.approx(np.quantile(np.exp(np.arange(200_000) / 10000.0), 0.5), rel=1e-12)
+    assert ordered.weighted_quantiles(df.limit(0), [], "v", "n", [0.5]).count() == 0
+
+
 def test_position_is_dense_and_sorted(skewed):
     placed = ordered.with_position(skewed.where("v is not null"), ["g", "v"], "p").toPandas().sort_values("p")
     assert list(placed["p"]) == list(range(len(placed)))
