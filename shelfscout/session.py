@@ -23,8 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Rows that carry a block of vectors are large: bound what one Arrow batch holds.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # Rows that carry a block of vectors or a long text are large: bound what one Arrow batch holds, once in the JVM and twice in Python.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
 }
 
 
