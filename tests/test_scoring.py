@@ -142,3 +142,21 @@ def test_histories_are_cut_but_whole(spark):
     rows = inter.user_histories(pairs).collect()
     assert max(len(r["items"]) for r in rows) <= 1000
     assert sum(len(r["items"]) for r in rows if r["user_id"] == 1) == 2500
+
+
+def test_blocks_move_once_per_cell_not_once_per_pair(world, monkeypatch):
+    """23 user blocks and 37 item blocks of one row make 851 pairs; a user block goes to each group of items only."""
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    ready = scoring.prepare(world["users"], world["items"], world["train"], world["held"], ["a"], user_block=1, item_block=1)
+    rows, columns = blocks.grid(ready.n_blocks, N_ITEMS, ready.user_bytes, ready.item_bytes, 4)
+    assert 4 <= rows * columns <= 8
+    kinds = {r["_kind"]: r["count"] for r in ready.cells(["a"]).groupBy("_kind").count().collect()}
+    assert kinds[blocks.LEFT] <= ready.n_blocks * columns and kinds[blocks.RIGHT] == N_ITEMS * rows
+    assert sum(kinds.values()) < ready.n_blocks * N_ITEMS / 4
+
+
+def test_a_group_of_users_is_bounded_in_bytes():
+    rows, columns = blocks.grid(10_000, 3_000, 8 * blocks.HELD_BYTES, blocks.HELD_BYTES, 16)
+    assert rows >= 8 and columns >= 2
+    assert blocks.grid(10_000, 3_000, 800 * blocks.HELD_BYTES, blocks.HELD_BYTES, 16)[0] >= 800
+    assert blocks.grid(1, 1, 0, 0, 200) == (1, 1)
