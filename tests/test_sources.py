@@ -198,3 +198,20 @@ def test_any_hadoop_file_system_is_read(spark, raw):
     scan = reviews.scan_reviews(spark, "viewfs://lake/raw")
     assert {r["recommendationid"] for r in scan.rows.collect()} == {1, 2, 3, 6}
     assert {r["path"] for r in scan.quarantine.collect()} == {f"viewfs://lake/raw/{n}.csv" for n in (30, 40, 50)}
+
+
+def test_many_small_files_make_few_tasks(spark, tmp_path, monkeypatch):
+    """600 files of a few bytes: a task of every 32 files would be 19."""
+    for n in range(600):
+        (tmp_path / f"{n}.csv").write_text(f"recommendationid,author_steamid,voted_up,author_playtime_forever\n{n},u,True,1\n")
+    parts, written = {}, reviews.spill
+
+    def watched(df, label="spill", *more):
+        parts[label] = df.rdd.getNumPartitions()
+        return written(df, label, *more)
+
+    monkeypatch.setattr(reviews, "spill", watched)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    assert reviews.scan_reviews(spark, str(tmp_path)).rows.count() == 600
+    assert parts["parsed"] <= 9
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
