@@ -177,6 +177,35 @@ def test_idf_and_unit_rows(spark):
     assert got[2, "bb"] == pytest.approx(1.0) and one == pytest.approx(1.6931, abs=1e-4)
 
 
+def test_terms_of_repeated_and_missing_keys(spark):
+    """Texts of one key, a missing one included, are one document; no bigram reaches across two texts."""
+    rows = [(1, "aa bb aa"), (1, "bb aa"), (2, "Aa, bb"), (None, "cc cc"), (None, "cc"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    got = {(r["id"], r["token"]): r["tf"] for r in text.term_counts(docs, "id").collect()}
+    assert got == {
+        (1, "aa"): 3, (1, "bb"): 2, (1, "aa bb"): 1, (1, "bb aa"): 2, (2, "aa"): 1, (2, "bb"): 1, (2, "aa bb"): 1, (None, "cc"): 3, (None, "cc cc"): 1,
+    }
+    df = {r["token"]: (r["df"], r["n"]) for r in text.document_frequency(text.term_counts(docs, "id")).collect()}
+    assert df["aa"] == (2, 4) and df["cc"] == (1, 3)
+    weights, vocab = text.text_block(docs, "id", min_df=1, max_df=1.0, max_features=4)
+    assert [r["token"] for r in vocab.orderBy("idx").collect()] == ["aa", "aa bb", "bb", "cc"]
+    lengths = {r["id"]: r["l"] for r in weights.groupBy("id").agg(F.sum(F.col("weight") ** 2).alias("l")).collect()}
+    assert lengths == pytest.approx({1: 1.0, 2: 1.0, None: 1.0})
+    assert weights.count() == 7
+    empty = text.text_block(docs.where("id = 4"), "id")
+    assert empty[0].count() == empty[1].count() == 0
+
+
+def test_terms_are_counted_in_bounded_partitions(spark, monkeypatch):
+    """The occurrences of a partition are not gathered in an aggregate, and a partition holds a bounded amount of text."""
+    docs = spark.range(400).select("id", F.concat_ws(" ", F.lit("word"), F.col("id").cast("string"), F.lit("word")).alias("text"))
+    assert "HashAggregate" not in text.term_counts(docs, "id")._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(text, "MOST_BYTES", 500)
+    assert text.term_counts(docs, "id").rdd.getNumPartitions() > 4
+    weights, _ = text.text_block(docs, "id", min_df=1, max_df=1.0)
+    assert weights.rdd.getNumPartitions() > 4 and weights.where("token = 'word'").count() == 400
+
+
 def test_vocabulary_counts_occurrences(spark):
     tokens = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (3, "c")], "id long, token string")
     kept = labels.vocabulary(tokens, 2, None).orderBy("idx").collect()
