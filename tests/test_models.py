@@ -288,6 +288,19 @@ def test_cells_of_any_size_move_alike(spark):
     assert all(seen[0][i] == pytest.approx(seen[1][i]) for i in seen[0])
 
 
+def test_grid_does_not_grow_with_the_shuffle_partitions(spark):
+    """Cells, and with them the messages of a half epoch, follow the ids; the number of tasks asked for cuts nothing smaller."""
+    train = spark.range(6000).select((F.col("id") % 3000).alias("user_id"), (F.col("id") * 7 % 2000).alias("item_id"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        grid = factorization.build_grid(train, "user_id", "item_id")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    cells = spark.read.parquet(grid.cells).select("u", "i").distinct().count()
+    assert cells <= grid.users.blocks * grid.items.blocks <= factorization.CELLS
+
+
 def test_initial_spread(spark):
     ids = spark.range(4000).withColumnRenamed("id", "user_id")
     x = factorization.initial_factors(ids, "user_id", "p", 2, 42).select("p0", "p1").toPandas().to_numpy()
