@@ -301,6 +301,15 @@ def test_grid_does_not_grow_with_the_shuffle_partitions(spark):
     assert cells <= grid.users.blocks * grid.items.blocks <= factorization.CELLS
 
 
+def test_multi_hot_compares_cells_in_shares(spark):
+    """Distinct cells in as many parts as there are tasks, however few bytes they have; a missing key is a row."""
+    rows = [(i, t) for i in (*range(300), None) for t in ("a", "b", "a")]
+    tokens = spark.createDataFrame(rows, "id long, token string")
+    cells = labels.multi_hot(tokens, labels.vocabulary(tokens, 2, None), "id")
+    assert cells.count() == cells.distinct().count() == 602
+    assert cells.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_initial_spread(spark):
     ids = spark.range(4000).withColumnRenamed("id", "user_id")
     x = factorization.initial_factors(ids, "user_id", "p", 2, 42).select("p0", "p1").toPandas().to_numpy()
