@@ -127,6 +127,22 @@ def test_profile_counts_items_without_vector_as_zero(spark):
     assert got == {1: [0.5, 1.5], 2: [0.0, 0.0]}
 
 
+def test_profile_sums_move_once_per_user(spark, monkeypatch):
+    """Pairs that come by item lie by user before their vectors are put on; a repeated vector counts as often as it occurs."""
+    train = spark.range(40).selectExpr("id AS item_id").crossJoin(spark.range(9).selectExpr("id AS user_id")).repartition(8, "item_id")
+    vectors = spark.createDataFrame([(n, [float(n), 1.0]) for n in [*range(30), 29]], "item_id long, vec array<double>")
+    written = []
+    keep = scoring.spill
+    monkeypatch.setattr(scoring, "spill", lambda df, *options: written.append(keep(df, *options)) or written[-1])
+    sums = {r["user_id"]: (r["n"], r["sums"]) for r in scoring.vector_sums(train, vectors, "user_id", "item_id", "vec", 2).collect()}
+    assert sums == {u: (41, [464.0, 31.0]) for u in range(9)}
+    places = written[0].select("user_id", F.input_file_name().alias("file")).groupBy("user_id").agg(F.count_distinct("file").alias("files"))
+    assert [r["files"] for r in places.collect()] == [1] * 9
+    monkeypatch.setattr(scoring, "BROADCAST_BYTES", 0)
+    again = scoring.vector_sums(train, vectors, "user_id", "item_id", "vec", 2)
+    assert {r["user_id"]: (r["n"], r["sums"]) for r in again.collect()} == sums
+
+
 def test_split_invariants(spark, folder):
     from shelfscout.queries.ranking import split
 
