@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,26 @@ def test_kmeans_finds_clear_groups(spark):
     assert (again.centres == three.centres).all() and again.inertia == pytest.approx(three.inertia)
 
 
+def test_step_of_many_runs_works_in_strips():
+    """Same sums as from all distances at once, but only a strip of them is held, however many rows come."""
+    rng = np.random.default_rng(5)
+    points = rng.integers(-3, 4, (40_000, 8)).astype(float)
+    starts = np.arange(0, 121, 6)
+    centres = points[rng.choice(len(points), 120)]
+    met = clustering._Met(centres, starts)
+    tracemalloc.start()
+    met.meet(points)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.25 * 8 * len(points) * len(centres)
+    for lo in range(0, 120, 6):
+        d2 = ((points[:, None, :] - centres[None, lo : lo + 6, :]) ** 2).sum(axis=2)
+        nearest = d2.argmin(axis=1)
+        assert met.sizes[lo : lo + 6].tolist() == np.bincount(nearest, minlength=6).tolist()
+        assert met.sse[lo : lo + 6].sum() == d2.min(axis=1).sum()
+        assert all((met.sums[lo + c] == points[nearest == c].sum(axis=0)).all() for c in range(6))
+
+
 def test_kmeans_same_on_sparse_rows(spark):
     x = (np.random.default_rng(4).random((60, 12)) < 0.3).astype(float)
     a = clustering.fit_kmeans(dense(spark, x), "id", [KMeansSpec("", 3, 5, 3)], 12)[0]
