@@ -137,6 +137,24 @@ def test_step_of_many_runs_works_in_strips():
         assert all((met.sums[lo + c] == points[nearest == c].sum(axis=0)).all() for c in range(6))
 
 
+def test_gram_product_takes_few_jobs(spark):
+    """The partial tables are added up by all tasks at once, not in a job for each shuffle partition."""
+    matrix = np.random.default_rng(6).integers(0, 3, (60, 20)).astype(float)
+    rows = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(matrix)], "id long, vec array<double>").repartition(3, "id")
+    basis = np.eye(20)[:, :4]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.sparkContext.setJobGroup("gram", "gram")
+    try:
+        product = reduction._gram_product(rows, basis, "vec")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("gram")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert (product == matrix.T @ matrix @ basis).all()
+    assert len(jobs) < 16
+
+
 def test_kmeans_same_on_sparse_rows(spark):
     x = (np.random.default_rng(4).random((60, 12)) < 0.3).astype(float)
     a = clustering.fit_kmeans(dense(spark, x), "id", [KMeansSpec("", 3, 5, 3)], 12)[0]
