@@ -107,10 +107,16 @@ def tfidf(spark, folder):
     return weights.withColumn("weight", S.rounded("weight"))
 
 
-@query("multi_hot", f"WITH {TOKENS} SELECT DISTINCT item_id, t.token, idx FROM tokens t JOIN vocab v ON t.token = v.token")
+@query(
+    "multi_hot",
+    f"""WITH {TOKENS}, often AS (SELECT token, (row_number() OVER (ORDER BY token) - 1)::INT AS idx FROM (
+      SELECT token FROM tokens GROUP BY token HAVING count(*) >= 20))
+    SELECT DISTINCT item_id, t.token, idx FROM tokens t JOIN often v ON t.token = v.token""",
+)
 def multi_hot(spark, folder):
-    tokens = labels.item_tokens(tables.catalog(spark, folder), "item_id", LABEL_COLUMNS)
-    return labels.multi_hot(tokens, labels.vocabulary(tokens, 20, 100), "item_id")
+    """Every token of at least 20 occurrences has a column."""
+    tokens = spill(labels.item_tokens(tables.catalog(spark, folder), "item_id", LABEL_COLUMNS), "tokens")
+    return labels.multi_hot(tokens, labels.vocabulary(tokens, 20, None), "item_id")
 
 
 SEGMENT_TOKENS = f"""{CATALOG}, seg AS (

@@ -256,6 +256,19 @@ def test_vocabulary_counts_occurrences(spark):
     assert {r["id"]: r["indices"] for r in rows} == {1: [0], 2: [], 3: [1]}
 
 
+def test_multi_hot_keeps_all_frequent_tokens(spark, tmp_path):
+    """150 brands of 20 items each: none is left out for another."""
+    from shelfscout.queries import QUERIES
+
+    parts = spark.range(3000).select(
+        F.col("id").alias("p_partkey"), F.lit("a b").alias("p_name"), F.concat(F.lit("Brand"), F.col("id") % 150).alias("p_brand"),
+        F.lit("kind").alias("p_type"), F.lit(1).alias("p_size"), F.lit(1.0).alias("p_retailprice"),
+    )
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    cells = QUERIES["multi_hot"](spark, str(tmp_path)).where("token LIKE 'developers__brand%'")
+    assert cells.count() == 3000 and cells.select("idx").distinct().count() == 150
+
+
 @pytest.fixture(scope="module")
 def small_train(spark):
     rng = np.random.default_rng(8)
