@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfscout.llm import quality
 
 
@@ -127,3 +129,32 @@ def test_documents_left_out_by_the_bound_are_held_out(spark):
     # No text fits: nothing is learnt, all with content stay.
     none = quality.judge(docs, labels, train_words=1).collect()
     assert all(r["keep"] and r["perplexity"] is None for r in none)
+
+
+def test_all_trusted_documents_are_fitted_on_or_held_out(spark):
+    """Nothing bounds the fit: about half of the ids, whatever their number and length."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    trusted = docs.select(F.col("doc_id").alias("trusted_id"))
+    assert quality.sample_ids(docs, trusted).count() > 9_000
+    long = spark.createDataFrame([(i, "x " * 200_000) for i in range(40)], "doc_id long, text string")
+    assert 10 < quality.sample_ids(long, long.select(F.col("doc_id").alias("trusted_id"))).count() < 30
+
+
+def test_sharded_scores_equal_the_gathered_model(spark, monkeypatch):
+    """Texts met in shards, in groups of a few tokens, with hot and rare middle words."""
+    rng = np.random.default_rng(9)
+    text = lambda: " ".join(f"w{i}" for i in rng.geometric(0.05, rng.integers(0, 80)))
+    train = spark.createDataFrame([(text(),) for _ in range(80)], "text string")
+    rows = [(i, text()) for i in range(60)] + [(100, None), (101, "never seen 12"), (102, "w1 " * 300)]
+    docs = spark.createDataFrame(rows, "place long, text string").repartition(3)
+    monkeypatch.setattr(quality, "TOKENS_AT_ONCE", 200)
+    fitted, model = quality.fit_tables(train), quality.fit(train)
+    for least, rows_of in ((24, 10**6), (8, 20)):
+        monkeypatch.setattr(quality, "LEAST_SHARDS", least)
+        monkeypatch.setattr(quality, "SHARD_ROWS", rows_of)
+        sharded = quality.sharded(fitted)
+        codes = docs.select("place", quality.coded(F.col("text"), sharded).alias("c")).select("place", "c.n", "c.ids")
+        got = {r["place"]: r["s"] for r in quality.log_sums(codes, sharded).collect()}
+        assert len(got) == len(rows)
+        for place, told in rows:
+            assert got[place] == pytest.approx(model.logs(told).sum(), rel=1e-9), place
